@@ -1 +1,8 @@
 """strataleaf: a Spark-native engine for versioned regulatory documents."""
+
+import sys
+
+from pyspark import cloudpickle
+
+# Functions that run on executors travel with their code, so executors need no copy of the package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
