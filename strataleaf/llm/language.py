@@ -8,7 +8,8 @@ as rejected.
 
 The dictionaries are fitted on a bounded sample: PIECES pieces of at most PIECE characters a
 language, from distinct texts in the order of a hash of the text, so copies count once. Every
-row is classified, from its text alone.
+row is classified, from its text alone. Letters are lower-cased and other characters become single
+spaces first, so capitals, digits and marks do not hide a language.
 
 Nulls: a null text, or one without a letter, is `und` with score 0 and rejected; rows with a null
 lang are classified and never learned from; a null doc_id counts as held out. With no labelled
@@ -18,17 +19,20 @@ sorts first. Repeated rows are rows; other columns are ignored.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import ensure, materialize
 
-PIECES, PIECE = 96, 1536
-#: Characters encoded at once, and zstandard's level.
-WINDOW, LEVEL = 1600, 3
+PIECES, PIECE = 64, 1000
+#: Characters encoded at once.
+WINDOW = 3000
 #: Rejected when the runner-up needs less than MARGIN more bytes, as a share of the best.
-MARGIN = 0.01
+MARGIN = 0.005
 FOLDS = 5
+_OTHER = re.compile(r"[\W\d_]+")
 
 
 def held_out() -> F.Column:
@@ -50,19 +54,25 @@ def fit(docs: DataFrame, pieces: int = PIECES, piece: int = PIECE) -> dict[str,
     cut = near.select("lang", "h", F.substring(F.col("text"), start, F.lit(piece)).alias("cut")).distinct().collect()
     out: dict[str, list] = {}
     for r in sorted(cut, key=lambda r: (r.lang, r.h)):
-        out.setdefault(r.lang, []).append(r.cut)
+        out.setdefault(r.lang, []).append(folded(r.cut))
     return {lang: "\n".join(cuts).encode("utf-8", "replace") for lang, cuts in out.items()}
 
 
-def encoder(dictionaries: dict[str, bytes], window: int, level: int):
-    """Function from a text to the bytes it needs with each dictionary, languages in order."""
+def folded(text: str) -> str:
+    return _OTHER.sub(" ", text.lower())
+
+
+def encoder(dictionaries: dict[str, bytes], window: int):
+    """Function from a folded text to the bytes it needs with each dictionary, languages in order."""
     import zstandard as zstd
 
+    # Short matches tell languages apart: strings of four bytes count.
+    params = zstd.ZstdCompressionParameters(window_log=17, chain_log=15, hash_log=15, search_log=2, min_match=4, strategy=zstd.STRATEGY_GREEDY, write_content_size=False, write_checksum=False, write_dict_id=False)
     coders = []
     for lang in sorted(dictionaries):
         known = zstd.ZstdCompressionDict(dictionaries[lang], dict_type=zstd.DICT_TYPE_RAWCONTENT)
-        known.precompute_compress(level=level)
-        coders.append(zstd.ZstdCompressor(level=level, dict_data=known, write_content_size=False, write_checksum=False, write_dict_id=False))
+        known.precompute_compress(compression_params=params)
+        coders.append(zstd.ZstdCompressor(compression_params=params, dict_data=known))
 
     def sizes(text: str) -> list[int]:
         parts = [text[i : i + window].encode("utf-8", "replace") for i in range(0, len(text), window)] or [b""]
@@ -71,7 +81,7 @@ def encoder(dictionaries: dict[str, bytes], window: int, level: int):
     return sizes
 
 
-def classify(docs: DataFrame, dictionaries: dict[str, bytes], window: int = WINDOW, level: int = LEVEL, margin: float = MARGIN) -> DataFrame:
+def classify(docs: DataFrame, dictionaries: dict[str, bytes], window: int = WINDOW, margin: float = MARGIN) -> DataFrame:
     """doc_id, held_out, lang_pred, score, rejected, margin for every row of docs."""
     rows = ensure(docs, doc_id="long", text="string").select("doc_id", held_out().alias("held_out"), "text")
     langs = sorted(dictionaries)
@@ -83,14 +93,14 @@ def classify(docs: DataFrame, dictionaries: dict[str, bytes], window: int = WIND
         import regex
 
         letter = regex.compile(r"\p{L}")
-        sizes = encoder(dictionaries, window, level)
+        sizes = encoder(dictionaries, window)
         for batch in batches:
             pred, score, gaps = [], [], []
             for text in batch.column("text").to_pylist():
                 if not langs or not text or not letter.search(text):
                     pred.append("und"), score.append(0.0), gaps.append(0.0)
                     continue
-                need = sizes(text)
+                need = sizes(folded(text))
                 best = min(range(len(langs)), key=lambda k: (need[k], k))
                 # The share of the best among weights that fall off with the bytes saved.
                 mass = sum(math.exp(-40 * (x - need[best]) / need[best]) for x in need)

@@ -4,13 +4,21 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import language, mixing, sharding, tokenbin
+from . import language, licenses, mixing, secrets, sharding, tokenbin, urlfilter
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.scan(_table(spark, sf_dir, "documents"))
+
+
+def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urlfilter.judge(_table(spark, sf_dir, "pages"))
+
+
 def op3_token_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -22,6 +30,10 @@ def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.classify(docs, language.fit(docs))
 
 
+def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(_table(spark, sf_dir, "documents"))
+
+
 def op8_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(_table(spark, sf_dir, "documents"))
 
@@ -30,5 +42,5 @@ def op9_byte_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.assign_shards(_table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op3_token_file, op4_language_id, op8_source_mix, op9_byte_shards)}
-SQL: dict[str, str] = {}
+QUERIES = {f.__name__: f for f in (op1_secret_scan, op2_url_filter, op3_token_file, op4_language_id, op7_license_scan, op8_source_mix, op9_byte_shards)}
+SQL: dict[str, str] = {"op2_url_filter": urlfilter.SQL, "op7_license_scan": licenses.sql()}
