@@ -20,6 +20,7 @@ tokenised whole and make a block of their own. Other columns are ignored.
 
 from __future__ import annotations
 
+import re
 import struct
 import zlib
 
@@ -30,8 +31,10 @@ from .common import drop, ensure, materialize, new_path
 
 END, BLOCK, LANES, SCALE, STEP = 2, 1 << 18, 1024, 18, 128
 MAGIC = b"SRA1"
-#: Words whose ids a worker remembers.
-REMEMBER = 1 << 19
+#: Pieces whose ids a worker remembers.
+REMEMBER = 1 << 20
+#: A lower-case word with marks after it, which the tokenizer takes apart; apostrophes may bind.
+MARKED = re.compile(r"([a-z]+)([!-&(-/:-@\[-`{-~]+)")
 
 
 class Words(dict):
@@ -45,15 +48,46 @@ class Words(dict):
 
         super().__init__()
         self.tokenizer, self.kind = Tokenizer.from_file(file), kind
+        self.vocabulary = self.tokenizer.get_vocab_size(with_added_tokens=True)
+
+    def cut(self, text: str | None) -> list[str]:
+        """Pieces of a text. The tokenizer lower-cases; doing so for ASCII first makes fewer of them.
+
+        A text that may spell a special token keeps its case, for that decides what it is.
+        """
+        text = text or ""
+        if "<|" not in text:
+            text = text.encode("utf-8", "surrogatepass").lower().decode("utf-8", "surrogatepass")
+        return text.replace("\n", " ").split(" ")
 
     def learn(self, lists: list[list[str]]) -> None:
         import numpy as np
 
         if len(self) > REMEMBER:
             self.clear()
-        new = list(set().union(*lists) - self.keys())
+        new = set().union(*lists) - self.keys()
+        marked = [(word, m[1], m[2]) for word in new if (m := MARKED.fullmatch(word))]
+        new.difference_update(word for word, _, _ in marked)
+        new.update(part for _, *parts in marked for part in parts if part not in self)
+        new = list(new)
         for word, x in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False), strict=True):
             self[word] = np.array(x.ids, self.kind).tobytes()
+        for word, core, marks in marked:
+            self[word] = self[core] + self[marks]
+
+
+def words_of(file: str) -> Words:
+    """This process's pieces of a tokenizer; tasks that a worker runs one after another share them."""
+    import sys
+    import types
+
+    kept = sys.modules.setdefault("_strataleaf_kept", types.ModuleType("_strataleaf_kept")).__dict__
+    if (file, "words") not in kept:
+        words = Words(file, "<u4")
+        if words.vocabulary <= 1 << 16:
+            words.kind = "<u2"
+        kept[file, "words"] = words
+    return kept[file, "words"]
 
 
 def tokenised(docs: DataFrame, file: str, partitions: int, end: int = END, block: int = BLOCK) -> DataFrame:
@@ -65,12 +99,11 @@ def tokenised(docs: DataFrame, file: str, partitions: int, end: int = END, block
         import numpy as np
         import pyarrow as pa
         from pyspark import TaskContext
-        from tokenizers import Tokenizer
 
         part, at = TaskContext.get().partitionId(), 0
-        vocabulary = max(Tokenizer.from_file(file).get_vocab_size(with_added_tokens=True), end + 1)
-        kind = "<u2" if vocabulary <= 1 << 16 else "<u4"
-        words, last = Words(file, kind), np.array([end], kind).tobytes()
+        words = words_of(file)
+        vocabulary, kind = max(words.vocabulary, end + 1), words.kind
+        last = np.array([end], kind).tobytes()
         counts = np.zeros(vocabulary, np.int64)
         ids, held, lengths, size = [], [], [], 0
 
@@ -87,7 +120,7 @@ def tokenised(docs: DataFrame, file: str, partitions: int, end: int = END, block
         for batch in batches:
             for lo in range(0, batch.num_rows, 64):
                 some = batch.slice(lo, 64)
-                lists = [(t or "").replace("\n", " ").split(" ") for t in some.column("text").to_pylist()]
+                lists = [words.cut(t) for t in some.column("text").to_pylist()]
                 words.learn(lists)
                 for doc_id, pieces in zip(some.column("doc_id").to_pylist(), lists, strict=True):
                     raw = b"".join(map(words.__getitem__, pieces)) + last
