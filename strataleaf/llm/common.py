@@ -138,3 +138,47 @@ def _prefix(rows: list) -> list[tuple[int, int]]:
 
 def arrow_map(df: DataFrame, run: Callable, schema: str | T.StructType) -> DataFrame:
     return df.mapInArrow(run, schema)
+
+
+def whole_groups(batches: Iterator, keys: list[str], least: int = 16384) -> Iterator:
+    """Arrow tables of whole groups, from batches whose rows come sorted by keys."""
+    import numpy as np
+    import pyarrow as pa
+
+    held, n = [], 0
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        held.append(batch)
+        n += batch.num_rows
+        if n < least:
+            continue
+        table = pa.Table.from_batches(held)
+        last = bounds(table, keys)[-2]
+        if last:
+            yield table.slice(0, last)
+            held = table.slice(last).combine_chunks().to_batches()
+            n -= int(last)
+        least = max(least, 2 * n)
+    if n:
+        yield pa.Table.from_batches(held)
+
+
+def bounds(table, keys: list[str]):
+    """Where each group of a sorted Arrow table starts, and its end."""
+    import numpy as np
+
+    change = np.zeros(table.num_rows, bool)
+    change[0] = True
+    for key in keys:
+        x = table.column(key).to_numpy()
+        change[1:] |= x[1:] != x[:-1]
+    return np.append(np.flatnonzero(change), table.num_rows)
+
+
+def near(df: DataFrame, least: int = 1_000_000) -> DataFrame:
+    """df, marked to be sent to every executor where it has at most `least` (small) rows.
+
+    Beyond that the join shuffles both sides. df must be cheap to count, as a written table is.
+    """
+    return F.broadcast(df) if df.limit(least + 1).count() <= least else df

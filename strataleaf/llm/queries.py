@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import language, licenses, mixing, secrets, sharding, tokenbin, urlfilter
+from . import language, licenses, mixing, ngrams, pivots, secrets, sharding, tokenbin, urlfilter
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -30,6 +30,14 @@ def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.classify(docs, language.fit(docs))
 
 
+def op5_vector_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pivots.near_vectors(_table(spark, sf_dir, "embeddings"))
+
+
+def op6_ngram_components(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngrams.components(_table(spark, sf_dir, "documents"))
+
+
 def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(_table(spark, sf_dir, "documents"))
 
@@ -42,5 +50,5 @@ def op9_byte_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.assign_shards(_table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_secret_scan, op2_url_filter, op3_token_file, op4_language_id, op7_license_scan, op8_source_mix, op9_byte_shards)}
+QUERIES = {f.__name__: f for f in (op1_secret_scan, op2_url_filter, op3_token_file, op4_language_id, op5_vector_links, op6_ngram_components, op7_license_scan, op8_source_mix, op9_byte_shards)}
 SQL: dict[str, str] = {"op2_url_filter": urlfilter.SQL, "op7_license_scan": licenses.sql()}
