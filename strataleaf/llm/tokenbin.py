@@ -65,7 +65,7 @@ class Words(dict):
 
         if len(self) > REMEMBER:
             self.clear()
-        new = set().union(*lists) - self.keys()
+        new = {word for word in set().union(*lists) if word not in self}
         marked = [(word, m[1], m[2]) for word in new if (m := MARKED.fullmatch(word))]
         new.difference_update(word for word, _, _ in marked)
         new.update(part for _, *parts in marked for part in parts if part not in self)
