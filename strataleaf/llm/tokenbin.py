@@ -20,9 +20,11 @@ tokenised whole and make a block of their own. Other columns are ignored.
 
 from __future__ import annotations
 
+import json
 import re
 import struct
 import zlib
+from array import array
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -34,6 +36,7 @@ MAGIC = b"SRA1"
 #: Pieces whose ids a worker remembers.
 REMEMBER = 1 << 20
 #: A lower-case word with marks after it, which the tokenizer takes apart; apostrophes may bind.
+PLAIN = re.compile(r"[a-z]+")
 MARKED = re.compile(r"([a-z]+)([!-&(-/:-@\[-`{-~]+)")
 
 
@@ -48,6 +51,12 @@ class Words(dict):
 
         super().__init__()
         self.tokenizer, self.kind = Tokenizer.from_file(file), kind
+        self.model = None
+        steps = json.loads(self.tokenizer.to_str())
+        kinds = [[x["type"] for x in ((steps[name] or {}).get(own) or [])] for name, own in (("normalizer", "normalizers"), ("pre_tokenizer", "pretokenizers"))]
+        if kinds == [["NFC", "Replace", "Lowercase"], ["Split", "ByteLevel"]] and not steps["pre_tokenizer"]["pretokenizers"][1]["add_prefix_space"]:
+            # These steps leave a lower-case ASCII word as it is, so such words go to the model at once.
+            self.model = self.tokenizer.model
         self.vocabulary = self.tokenizer.get_vocab_size(with_added_tokens=True)
 
     def cut(self, text: str | None) -> list[str]:
@@ -69,6 +78,12 @@ class Words(dict):
         marked = [(word, m[1], m[2]) for word in new if (m := MARKED.fullmatch(word))]
         new.difference_update(word for word, _, _ in marked)
         new.update(part for _, *parts in marked for part in parts if part not in self)
+        if self.model is not None:
+            form, tokenize = ("H" if self.kind == "<u2" else "I"), self.model.tokenize
+            plain = [word for word in new if PLAIN.fullmatch(word)]
+            for word in plain:
+                self[word] = array(form, [x.id for x in tokenize(word)]).tobytes()
+            new.difference_update(plain)
         new = list(new)
         for word, x in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False), strict=True):
             self[word] = np.array(x.ids, self.kind).tobytes()
