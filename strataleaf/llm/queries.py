@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import language, licenses, mixing, ngrams, pivots, secrets, sharding, tokenbin, urlfilter
+from . import decontaminate, language, licenses, mixing, ngrams, pivots, secrets, sharding, tokenbin, urlfilter
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -50,5 +50,9 @@ def op9_byte_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.assign_shards(_table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_secret_scan, op2_url_filter, op3_token_file, op4_language_id, op5_vector_links, op6_ngram_components, op7_license_scan, op8_source_mix, op9_byte_shards)}
+def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.find(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
+QUERIES = {f.__name__: f for f in (op1_secret_scan, op2_url_filter, op3_token_file, op4_language_id, op5_vector_links, op6_ngram_components, op7_license_scan, op8_source_mix, op9_byte_shards, op10_decontaminate)}
 SQL: dict[str, str] = {"op2_url_filter": urlfilter.SQL, "op7_license_scan": licenses.sql()}
