@@ -37,8 +37,9 @@ def keep_clear_of_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Operator 8: each document as often as its source's target takes it."""
-    taken = materialize(mixing.mix(docs).select("doc_id", F.col("copies").alias("__copies")).where("__copies > 0"), "mix-copies")
+    """Operator 8: each document as often as its source's target takes it; rows without a doc_id go."""
+    taken = mixing.mix(docs).groupBy("doc_id").agg(F.min("copies").alias("__copies")).where("__copies > 0 AND doc_id IS NOT NULL")
+    taken = materialize(taken, "mix-copies")
     return docs.join(near(taken), "doc_id").withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__copies")))).select(docs.columns)
 
 
