@@ -2,5 +2,7 @@
 
 from __future__ import annotations
 
-QUERIES: dict = {}
-SQL: dict[str, str] = {}
+from .plans import retrieval, texts, versions  # noqa: F401
+from .plans.common import QUERIES, SQL
+
+__all__ = ["QUERIES", "SQL"]
