@@ -186,7 +186,15 @@ def shared_entries(entries: DataFrame, last: list[int], tasks: int) -> DataFrame
     return entries.repartition(tasks, "key", "salt").select("key", "cls", "n").mapInArrow(run, "key long, cls long, n long")
 
 
-def prune(pairs: DataFrame, points: DataFrame) -> DataFrame:
+def _apart(pairs: DataFrame, comps: DataFrame) -> DataFrame:
+    """Pairs whose ends are not yet in one component."""
+    one = comps.select(F.col("node").alias("a"), F.col("component").alias("c_a"))
+    two = comps.select(F.col("node").alias("b"), F.col("component").alias("c_b"))
+    both = pairs.join(one, "a", "left").join(two, "b", "left")
+    return both.where(F.coalesce("c_a", "a") != F.coalesce("c_b", "b")).select("a", "b")
+
+
+def prune(pairs: DataFrame, points: DataFrame, *more: str) -> DataFrame:
     """Pairs (a, b) of classes that the bound by counts lets pass."""
     one = points.select(F.col("cls").alias("a"), F.col("n").alias("n_a"), F.col("counts").alias("c_a"))
     two = points.select(F.col("cls").alias("b"), F.col("n").alias("n_b"), F.col("counts").alias("c_b"))
@@ -201,50 +209,66 @@ def prune(pairs: DataFrame, points: DataFrame) -> DataFrame:
             c_a, c_b = (np.frombuffer(b"".join(batch.column(c).to_pylist()), "<u2").reshape(batch.num_rows, -1) for c in ("c_a", "c_b"))
             n_a, n_b = (batch.column(c).to_numpy() for c in ("n_a", "n_b"))
             keep = may_link(bound(c_a, c_b), n_a, n_b)
-            yield batch.select(["a", "b"]).filter(pa.array(keep))
+            yield batch.select(["a", "b", *more]).filter(pa.array(keep))
 
     joined = pairs.join(one, "a").join(two, "b").where((DENOMINATOR * F.least("n_a", "n_b")) >= NUMERATOR * F.greatest("n_a", "n_b"))
-    return joined.select("a", "b", "n_a", "n_b", "c_a", "c_b").mapInArrow(run, "a long, b long")
-
+    return joined.select("a", "b", *more, "n_a", "n_b", "c_a", "c_b").mapInArrow(run, ", ".join(f"{x} long" for x in ("a", "b", *more)))
 
-def verify(pairs: DataFrame, bags: DataFrame) -> DataFrame:
-    """Pairs (a, b) whose whole sets link; bags: cls, bag (sorted hashes)."""
-
-    def run(batches):
-        import numpy as np
-        import pyarrow as pa
-
-        for batch in batches:
-            keep = []
-            for x, y in zip(batch.column("bag_a").to_pylist(), batch.column("bag_b").to_pylist(), strict=True):
-                x, y = np.frombuffer(x, "<u8"), np.frombuffer(y, "<u8")
-                both = len(np.intersect1d(x, y, assume_unique=True))
-                keep.append(DENOMINATOR * both >= NUMERATOR * (len(x) + len(y) - both))
-            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    one, two = bags.select(F.col("cls").alias("a"), F.col("bag").alias("bag_a")), bags.select(F.col("cls").alias("b"), F.col("bag").alias("bag_b"))
-    return pairs.join(one, "a").join(two, "b").select("a", "b", "bag_a", "bag_b").mapInArrow(run, "a long, b long")
+def verify(docs: DataFrame, pairs: DataFrame, points: DataFrame, tasks: int, most: int = 256) -> DataFrame:
+    """Pairs (a, b) whose whole sets link.
 
-
-def bags_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """cls, bag of the classes in wanted (cls, doc_id), read again from their representative's text."""
-    wanted = wanted.select("doc_id", "cls")
-    rows = docs.join(near(wanted), "doc_id").select("cls", "text")
-
-    def run(batches):
+    Representatives' texts are read again, and each set goes once to the place of every b it is held
+    against. A b with many partners has several places, each with its own copy of b's set.
+    """
+    pairs = materialize(pairs.select("a", "b").distinct(), "ngram-check")
+    places = materialize(pairs.groupBy("b").agg(F.ceil(F.count(F.lit(1)) / most).cast("int").alias("places")), "ngram-places")
+    goes = pairs.join(places, "b").select(F.col("a").alias("cls"), F.col("b").alias("to"), F.pmod(F.xxhash64("a"), F.col("places")).cast("int").alias("place"))
+    stays = places.select(F.col("b").alias("cls"), F.col("b").alias("to"), F.explode(F.sequence(F.lit(0), F.col("places") - 1)).alias("place"))
+    routes = goes.unionByName(stays).groupBy("cls").agg(F.collect_list(F.struct("to", "place")).alias("routes"))
+    routes = materialize(routes.join(points.select("cls", "doc_id"), "cls"), "ngram-routes")
+    rows = docs.join(near(routes), "doc_id").select("cls", "routes", "text")
+
+    def send(batches):
         import pyarrow as pa
         import xxhash
 
         known = Hashes()
         for batch in batches:
-            cls, bags = [], []
-            for c, text in zip(batch.column("cls").to_pylist(), batch.column("text").to_pylist(), strict=True):
-                bag = shingles(text, known).tobytes()
-                if xxhash.xxh3_64_intdigest(bag) - (1 << 63) == c:  # a doc_id may stand for several texts
-                    cls.append(c), bags.append(bag)
-            yield pa.RecordBatch.from_arrays([pa.array(cls, pa.int64()), pa.array(bags, pa.binary())], names=["cls", "bag"])
+            for lo in range(0, batch.num_rows, 64):
+                out = []
+                for r in batch.slice(lo, 64).to_pylist():
+                    bag = shingles(r["text"], known).tobytes()
+                    if xxhash.xxh3_64_intdigest(bag) - (1 << 63) == r["cls"]:  # a doc_id may stand for several texts
+                        out += [(x["to"], x["place"], int(x["to"] != r["cls"]), r["cls"], bag) for x in r["routes"]]
+                columns = list(zip(*out, strict=True)) if out else [()] * 5
+                kinds = [pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.binary()]
+                yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(columns, kinds, strict=True)], names=["to", "place", "other", "cls", "bag"])
+
+    def meet(batches):
+        import numpy as np
+        import pyarrow as pa
 
-    return rows.mapInArrow(run, "cls long, bag binary").dropDuplicates(["cls"])
+        for table in whole_groups(batches, ["to", "place"], 256):
+            at = bounds(table, ["to", "place"])
+            other, cls, bags = table.column("other").to_pylist(), table.column("cls").to_pylist(), table.column("bag")
+            a, b = [], []
+            for lo, hi in zip(at[:-1].tolist(), at[1:].tolist(), strict=True):
+                if other[lo]:
+                    continue
+                own = np.frombuffer(bags[lo].as_py(), "<u8")
+                for k in range(lo + 1, hi):
+                    if not other[k]:
+                        continue
+                    bag = np.frombuffer(bags[k].as_py(), "<u8")
+                    both = len(np.intersect1d(own, bag, assume_unique=True))
+                    if DENOMINATOR * both >= NUMERATOR * (len(own) + len(bag) - both):
+                        a.append(cls[k]), b.append(cls[lo])
+            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+
+    sent = rows.mapInArrow(send, "to long, place int, other int, cls long, bag binary")
+    met = sent.repartition(tasks, "to", "place").sortWithinPartitions("to", "place", "other").mapInArrow(meet, "a long, b long")
+    return materialize(met.distinct(), "ngram-links")
 
 
 def tree_pairs(comp, n, counts, own, cross: bool, leaf: int = LEAF):
@@ -336,18 +360,19 @@ def components(docs: DataFrame) -> DataFrame:
     middle = entries.join(scores, "cls").groupBy("key").agg(F.max_by("cls", F.struct("score", "cls")).alias("mid"))
     stars = entries.select("key", "cls").join(lists.join(middle, "key"), "key")
     pairs = stars.select(F.col("cls").alias("a"), F.explode(F.array_distinct(F.array("lo", "hi", "mid"))).alias("b")).where("a <> b")
-    pairs = materialize(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "ngram-stars")
-    first = materialize(prune(pairs, points), "ngram-pairs")
-    bags = materialize(bags_of(docs, points), "ngram-bags", compression="none")
-    links = materialize(verify(first, bags), "ngram-links")
+    pairs = pairs.groupBy(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).agg(F.count(F.lit(1)).alias("shared"))
+    pairs = materialize(prune(pairs, points, "shared"), "ngram-stars")
+    # First the partner with whom a class shares most, then the pairs that are still apart.
+    ends = pairs.select(F.col("a").alias("cls"), F.col("b").alias("other"), "shared").unionByName(pairs.select(F.col("b").alias("cls"), F.col("a").alias("other"), "shared"))
+    best = ends.groupBy("cls").agg(F.max_by("other", F.struct("shared", "other")).alias("other"))
+    best = best.select(F.least("cls", "other").alias("a"), F.greatest("cls", "other").alias("b")).distinct()
+    links = verify(docs, best, points, conf)
+    links = links.unionByName(verify(docs, _apart(pairs, connected_components(links)), points, conf))
     comps = connected_components(links)
-
     more = rest_pairs(entries, comps.select(F.col("node").alias("cls"), F.col("component").alias("comp")), points, conf)
-    more = materialize(more.join(first, ["a", "b"], "left_anti"), "ngram-rest")
-    found = materialize(verify(more, bags), "ngram-links")
-    for table in (entries, pairs, bags):
-        drop(table)
-    comps = connected_components(links.unionByName(found))
+    more = materialize(more.join(pairs, ["a", "b"], "left_anti"), "ngram-rest")
+    drop(entries)
+    comps = connected_components(links.unionByName(verify(docs, more, points, conf)))
 
     # Components are named by class hashes so far; each gets its smallest doc_id.
     whole = sets.where("n > 0").groupBy("cls").agg(F.min("doc_id").alias("doc_id")).join(comps.select(F.col("node").alias("cls"), F.col("component").alias("comp")), "cls", "left")
