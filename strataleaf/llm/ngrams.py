@@ -11,6 +11,7 @@ A document's set holds the 64-bit hashes of its distinct 5-word shingles. Two do
 3. Stars: in each list, members are paired with three representatives (the least, the greatest, and
    the one most of whose hashes are shared), which settles most lists and large groups of copies in
    linear time. Verified links give provisional components.
+   Candidate pairs are held to the bound of 4 before their sets are.
 4. R-tree: a list whose members are still in several components is searched for the rest. Hashes
    fall into GROUPS groups, and a class is the point of its counts by group. Points are packed
    by size into leaves that keep the greatest count of each group; the summed minima of two points, or
@@ -32,7 +33,10 @@ from pyspark.sql import functions as F
 from .common import bounds, connected_components, drop, ensure, materialize, near, whole_groups
 
 WORDS, NUMERATOR, DENOMINATOR = 5, 75, 100
-GROUPS, LEAF, BLOCK = 64, 32, 1024
+GROUPS, LEAF, BLOCK = 256, 32, 1024
+#: Sets of more than LONG hashes have a second, finer point, of a group for every two hashes, at most FINEST.
+LONG, FINEST = 1024, 8192
+FULL = 255
 #: Hashes that a sample of 1/SAMPLE of the rows finds often, at most HINTS: they come last in the order.
 SAMPLE, HINTS = 8, 1 << 16
 ENTRIES = 1_000_000
@@ -76,7 +80,12 @@ def needed(n: int) -> int:
 def counts_of(hashes, groups: int = GROUPS):
     import numpy as np
 
-    return np.minimum(np.bincount((hashes & np.uint64(groups - 1)).astype(np.int64), minlength=groups), 65535).astype("<u2")
+    return np.minimum(np.bincount((hashes & np.uint64(groups - 1)).astype(np.int64), minlength=groups), FULL).astype(np.uint8)
+
+
+def fine_groups(n: int) -> int:
+    """Groups of a long set's finer point: a power of two, so that points of two sizes fold onto each other."""
+    return min(FINEST, 1 << max(0, n // 2 - 1).bit_length())
 
 
 def bound(a, b):
@@ -85,7 +94,7 @@ def bound(a, b):
 
     least = np.minimum(a, b)
     total = least.sum(axis=-1, dtype=np.int64)
-    return np.where((least == 65535).any(axis=-1), np.int64(1 << 60), total)
+    return np.where((least == FULL).any(axis=-1), np.int64(1 << 60), total)
 
 
 def may_link(over, n_a, n_b):
@@ -114,7 +123,7 @@ def hints(docs: DataFrame) -> list[int]:
 
 
 def described(docs: DataFrame, last: list[int]) -> DataFrame:
-    """doc_id, n, cls, prefix, counts of every row."""
+    """doc_id, n, cls, prefix, counts, fine of every row."""
     import numpy as np
 
     sent = docs.sparkSession.sparkContext.broadcast(np.sort(np.array(last, np.int64).view(np.uint64)))
@@ -125,11 +134,12 @@ def described(docs: DataFrame, last: list[int]) -> DataFrame:
 
         known, late = Hashes(), sent.value
         for batch in batches:
-            n, cls, prefix, counts = [], [], [], []
+            n, cls, prefix, counts, fine = [], [], [], [], []
             for text in batch.column("text").to_pylist():
                 h = shingles(text, known)
                 size = len(h)
                 n.append(size), cls.append(xxhash.xxh3_64_intdigest(h.tobytes()) - (1 << 63)), counts.append(counts_of(h).tobytes())
+                fine.append(counts_of(h, fine_groups(size)).tobytes() if size > LONG else None)
                 keep = size - needed(size) + 1 if size else 0
                 if keep and len(late):
                     often = late[np.minimum(np.searchsorted(late, h), len(late) - 1)] == h
@@ -137,11 +147,11 @@ def described(docs: DataFrame, last: list[int]) -> DataFrame:
                         h = np.concatenate([h[~often], h[often]])
                 prefix.append(h[:keep].view(np.int64))
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(n, pa.int64()), pa.array(cls, pa.int64()), pa.array(prefix, pa.list_(pa.int64())), pa.array(counts, pa.binary())],
-                names=["doc_id", "n", "cls", "prefix", "counts"],
+                [batch.column("doc_id"), pa.array(n, pa.int64()), pa.array(cls, pa.int64()), pa.array(prefix, pa.list_(pa.int64())), pa.array(counts, pa.binary()), pa.array(fine, pa.binary())],
+                names=["doc_id", "n", "cls", "prefix", "counts", "fine"],
             )
 
-    return docs.mapInArrow(run, "doc_id long, n long, cls long, prefix array<long>, counts binary")
+    return docs.mapInArrow(run, "doc_id long, n long, cls long, prefix array<long>, counts binary, fine binary")
 
 
 def shared_entries(entries: DataFrame, last: list[int], tasks: int) -> DataFrame:
@@ -195,20 +205,46 @@ def _apart(pairs: DataFrame, comps: DataFrame) -> DataFrame:
 
 
 def prune(pairs: DataFrame, points: DataFrame, *more: str) -> DataFrame:
-    """Pairs (a, b) of classes that the bound by counts lets pass."""
-    one = points.select(F.col("cls").alias("a"), F.col("n").alias("n_a"), F.col("counts").alias("c_a"))
-    two = points.select(F.col("cls").alias("b"), F.col("n").alias("n_b"), F.col("counts").alias("c_b"))
+    """Pairs (a, b) of classes that the bound by counts lets pass; long sets are held to their finer points too."""
+    passed = materialize(_pruned(pairs, points, "counts", *more), "ngram-passed")
+    long = points.where(F.col("fine").isNotNull()).select("cls", "n", "fine")
+    ids = long.select("cls")
+    both = passed.join(ids.withColumnRenamed("cls", "a"), "a", "left_semi").join(ids.withColumnRenamed("cls", "b"), "b", "left_semi")
+    both = materialize(both, "ngram-long")
+    rest = passed.join(both.select("a", "b"), ["a", "b"], "left_anti")
+    return rest.select("a", "b", *more).unionByName(_pruned(both, long, "fine", *more))
+
+
+def _pruned(pairs: DataFrame, points: DataFrame, counts: str, *more: str) -> DataFrame:
+    one = points.select(F.col("cls").alias("a"), F.col("n").alias("n_a"), F.col(counts).alias("c_a"))
+    two = points.select(F.col("cls").alias("b"), F.col("n").alias("n_b"), F.col(counts).alias("c_b"))
 
     def run(batches):
         import numpy as np
         import pyarrow as pa
 
+        def stacked(rows, width):
+            x = np.frombuffer(b"".join(rows), np.uint8).reshape(len(rows), -1, width)
+            if x.shape[1] == 1:
+                return x[:, 0]
+            # Folded; a full count stays full.
+            total = np.minimum(x.sum(axis=1, dtype=np.int64), FULL)
+            total[(x == FULL).any(axis=1)] = FULL
+            return total.astype(np.uint8)
+
         for batch in batches:
             if not batch.num_rows:
                 continue
-            c_a, c_b = (np.frombuffer(b"".join(batch.column(c).to_pylist()), "<u2").reshape(batch.num_rows, -1) for c in ("c_a", "c_b"))
-            n_a, n_b = (batch.column(c).to_numpy() for c in ("n_a", "n_b"))
-            keep = may_link(bound(c_a, c_b), n_a, n_b)
+            c_a, c_b = batch.column("c_a").to_pylist(), batch.column("c_b").to_pylist()
+            n_a, n_b = batch.column("n_a").to_numpy(), batch.column("n_b").to_numpy()
+            keep = np.zeros(batch.num_rows, bool)
+            sizes: dict[tuple[int, int], list[int]] = {}
+            for k, (x, y) in enumerate(zip(c_a, c_b, strict=True)):
+                sizes.setdefault((len(x), len(y)), []).append(k)
+            for (x, y), rows in sizes.items():
+                width = min(x, y)
+                over = bound(stacked([c_a[k] for k in rows], width), stacked([c_b[k] for k in rows], width))
+                keep[rows] = may_link(over, n_a[rows], n_b[rows])
             yield batch.select(["a", "b", *more]).filter(pa.array(keep))
 
     joined = pairs.join(one, "a").join(two, "b").where((DENOMINATOR * F.least("n_a", "n_b")) >= NUMERATOR * F.greatest("n_a", "n_b"))
@@ -326,7 +362,7 @@ def rest_pairs(entries: DataFrame, comps: DataFrame, points: DataFrame, tasks: i
         for table in whole_groups(batches, keys):
             at = bounds(table, keys)
             cls, comp, own, n, x, y = (table.column(c).to_numpy() for c in ("cls", "comp", "own", "n", "x", "y"))
-            counts = np.frombuffer(b"".join(table.column("counts").to_pylist()), "<u2").reshape(table.num_rows, -1)
+            counts = np.frombuffer(b"".join(table.column("counts").to_pylist()), np.uint8).reshape(table.num_rows, -1)
             out = []
             for lo, hi in zip(at[:-1].tolist(), at[1:].tolist(), strict=True):
                 a, b = tree_pairs(comp[lo:hi], n[lo:hi], counts[lo:hi], own[lo:hi], bool(x[lo] != y[lo]))
@@ -351,7 +387,7 @@ def components(docs: DataFrame) -> DataFrame:
     entries = sets.select(F.explode("prefix").alias("key"), "cls", "n")
     entries = materialize(shared_entries(entries, last, tasks), "ngram-entries")
 
-    classes = sets.where("n > 0").groupBy("cls").agg(F.min("doc_id").alias("doc_id"), F.first("n").alias("n"), F.first("counts").alias("counts"), F.first(F.size("prefix")).alias("p"))
+    classes = sets.where("n > 0").groupBy("cls").agg(F.min("doc_id").alias("doc_id"), F.first("n").alias("n"), F.first("counts").alias("counts"), F.first("fine").alias("fine"), F.first(F.size("prefix")).alias("p"))
     points = materialize(classes.join(entries.select("cls").distinct(), "cls", "left_semi"), "ngram-points")
 
     # Stars. A class most of whose hashes are shared, and widely, stands in the middle of its copies.
@@ -371,6 +407,7 @@ def components(docs: DataFrame) -> DataFrame:
     comps = connected_components(links)
     more = rest_pairs(entries, comps.select(F.col("node").alias("cls"), F.col("component").alias("comp")), points, conf)
     more = materialize(more.join(pairs, ["a", "b"], "left_anti"), "ngram-rest")
+    more = prune(more, points)
     drop(entries)
     comps = connected_components(links.unionByName(verify(docs, more, points, conf)))
 
