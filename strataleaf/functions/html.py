@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 BLOCKS = frozenset("p div li ul ol h1 h2 h3 h4 h5 h6 section article blockquote pre tr thead tbody tfoot caption center table br".split())
 SKIPPED = frozenset(("script", "style", "noscript"))
+CELL = T.StructType([T.StructField("t", T.StringType()), T.StructField("rs", T.IntegerType()), T.StructField("cs", T.IntegerType()), T.StructField("h", T.BooleanType())])
 
 
 def render(html: str | None) -> tuple[str, list]:
@@ -68,11 +70,11 @@ def render(html: str | None) -> tuple[str, list]:
     return "\n".join(line for line in lines if line), cells
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def to_text(html):
     return html.map(lambda x: render(x)[0])
 
 
-@F.pandas_udf("array<array<array<struct<t:string,rs:int,cs:int,h:boolean>>>>")
+@F.pandas_udf(T.ArrayType(T.ArrayType(T.ArrayType(CELL))))
 def to_tables(html):
     return html.map(lambda x: [[[{"t": t, "rs": rs, "cs": cs, "h": h} for t, rs, cs, h in row] for row in table] for table in render(x)[1]])
