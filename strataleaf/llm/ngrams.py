@@ -391,11 +391,15 @@ def components(docs: DataFrame) -> DataFrame:
     points = materialize(classes.join(entries.select("cls").distinct(), "cls", "left_semi"), "ngram-points")
 
     # Stars. A class most of whose hashes are shared, and widely, stands in the middle of its copies.
-    lists = entries.groupBy("key").agg(F.count(F.lit(1)).alias("m"), F.min("cls").alias("lo"), F.max("cls").alias("hi"))
+    member = F.struct("cls", "n")
+    lists = entries.groupBy("key").agg(F.count(F.lit(1)).alias("m"), F.min(member).alias("lo"), F.max(member).alias("hi"))
     scores = entries.join(lists.select("key", F.log("m").alias("w")), "key").groupBy("cls").agg(F.sum("w").alias("w")).join(points.select("cls", "p"), "cls").select("cls", (F.col("w") / F.col("p")).alias("score"))
-    middle = entries.join(scores, "cls").groupBy("key").agg(F.max_by("cls", F.struct("score", "cls")).alias("mid"))
-    stars = entries.select("key", "cls").join(lists.join(middle, "key"), "key")
-    pairs = stars.select(F.col("cls").alias("a"), F.explode(F.array_distinct(F.array("lo", "hi", "mid"))).alias("b")).where("a <> b")
+    middle = entries.join(scores, "cls").groupBy("key").agg(F.max_by(member, F.struct("score", "cls")).alias("mid"))
+    stars = entries.join(lists.join(middle, "key"), "key")
+    pairs = stars.select("cls", "n", F.explode(F.array_distinct(F.array("lo", "hi", "mid"))).alias("star"))
+    # Sizes that cannot link go before the pairs are counted.
+    suits = DENOMINATOR * F.least("n", F.col("star.n")) >= NUMERATOR * F.greatest("n", F.col("star.n"))
+    pairs = pairs.where(suits).select(F.col("cls").alias("a"), F.col("star.cls").alias("b")).where("a <> b")
     pairs = pairs.groupBy(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).agg(F.count(F.lit(1)).alias("shared"))
     pairs = materialize(prune(pairs, points, "shared"), "ngram-stars")
     # First the partner with whom a class shares most, then the pairs that are still apart.
