@@ -118,6 +118,28 @@ def test_paraphrases_and_awkward_rows(spark):
     assert {(r.doc_id, r.item_id) for r in decontaminate.find(docs(spark, rows), odd).collect()} == {(40, None), (42, None)}
 
 
+def test_copies_and_common_words_do_not_hide_an_item(spark):
+    df, bench = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text"), spark.read.parquet("/root/testdata/sf0.01/benchmark.parquet")
+    before = {(r.doc_id, r.item_id) for r in decontaminate.find(df, bench).collect()}
+    held = next(d for d, i in sorted(before) if i == 3)
+    copies = df.where(f"doc_id = {held}").crossJoin(spark.range(500)).selectExpr("id + 1000000 AS doc_id", "text")
+    text = next(r.text for r in bench.collect() if r.item_id == 11)
+    around = " ".join(f"zq{k}" for k in range(10))
+    short = spark.range(500).selectExpr("id + 2000000 AS doc_id", f"'{around} {text} {around}' AS text")
+    got = {(r.doc_id, r.item_id) for r in decontaminate.find(df.unionByName(copies).unionByName(short), bench).collect()}
+    assert before <= got
+    assert {(1000000 + k, 3) for k in range(500)} <= got and {(2000000 + k, 11) for k in range(500)} <= got
+
+
+def test_count_of_an_items_words_bounds_the_lcs():
+    rng = np.random.default_rng(3)
+    items = [rng.integers(0, 23, n).astype(np.int32) for n in (3, 9, 20)]
+    ids = rng.integers(-1, 23, 200).astype(np.int32)
+    which, first, last = np.array([0, 1, 2, 2]), np.array([0, 50, 120, 190]), np.array([40, 90, 200, 200])
+    got = decontaminate.held(decontaminate.holders(items, 23), which, ids, first, last)
+    assert got.tolist() == [int(np.isin(ids[a:b], items[k]).sum()) for k, a, b in zip(which, first, last, strict=True)]
+
+
 def test_lcs_is_the_table():
     rng = np.random.default_rng(2)
     for _ in range(200):
