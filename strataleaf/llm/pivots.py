@@ -1,7 +1,8 @@
 """Operator 5: near-duplicate vectors by a pivot-permutation index.
 
 Pivots are vectors of the table, taken in the order of a hash (4 times the root of the row count, at most
-MOST, and none close to another). Every vector is described by its PREFIX nearest pivots in order. Inverted lists are kept for
+MOST, and none close to another). Every vector is described by its nearest pivots in order: PREFIX of up to FEW
+pivots, and one more each time their number doubles, or the six nearest of many pivots would agree less and less. Inverted lists are kept for
 pairs of pivots: two vectors meet in a list when they share at least two pivots, and the pair is
 taken up only in the list of the first two they share, so it is verified once. Lists are dealt
 out in blocks, block against block, so no task gets a whole long list. Verification is the cosine in
@@ -26,7 +27,12 @@ from pyspark.sql import functions as F
 from .common import bounds, connected_components, ensure, materialize, whole_groups
 
 LEAST = 0.9
-PER_ROOT, MOST, PREFIX, BLOCK = 4, 4096, 6, 256
+PER_ROOT, MOST, PREFIX, FEW, BLOCK = 4, 4096, 6, 256, 256
+
+
+def prefix_of(count: int) -> int:
+    """How many nearest pivots describe a vector, of so many pivots."""
+    return PREFIX + max(0, math.ceil(math.log2(max(1, count) / FEW)))
 
 
 def _unit(list_, width: int):
@@ -83,7 +89,7 @@ def described(rows: DataFrame, pivots, prefix: int) -> DataFrame:
     return rows.select("cls", "vec").mapInArrow(run, "cls long, vec array<double>, first array<int>")
 
 
-def link(vectors: DataFrame, least: float = LEAST, prefix: int = PREFIX, per_root: int = PER_ROOT, block: int = BLOCK) -> tuple[DataFrame, DataFrame, DataFrame]:
+def link(vectors: DataFrame, least: float = LEAST, prefix: int | None = None, per_root: int = PER_ROOT, block: int = BLOCK) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(rows, classes, links): vec_id, digest; digest, cls, members; cls a and b of linked classes."""
     import numpy as np
 
@@ -103,6 +109,7 @@ def link(vectors: DataFrame, least: float = LEAST, prefix: int = PREFIX, per_roo
         return ids, classes, rows.sparkSession.createDataFrame([], "a long, b long")
     width = classes.agg(F.max(F.size("vec")).alias("n")).first().n
     pivots = _apart(_unit(drawn, width), count)
+    prefix = prefix or prefix_of(len(pivots))
     index = materialize(described(classes, pivots, prefix), "vec-index")
 
     firsts = F.array_sort("first")

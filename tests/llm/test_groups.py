@@ -108,6 +108,18 @@ def test_vectors_are_the_brute_force(spark):
     assert pivots.near_vectors(df.limit(0)).collect() == []
 
 
+def test_prefix_keeps_recall_at_any_number_of_pivots():
+    rng = np.random.default_rng(5)
+    unit = lambda x: x / np.linalg.norm(x, axis=1, keepdims=True)
+    assert pivots.prefix_of(16) == pivots.prefix_of(256) == pivots.PREFIX
+    for count in (176, 1000, 4096):
+        of, p = unit(rng.standard_normal((count, 64))), pivots.prefix_of(count)
+        a, b = unit(rng.standard_normal((1000, 64))), rng.standard_normal((1000, 64))
+        b = unit(b - (b * a).sum(axis=1, keepdims=True) * a)
+        near = [np.argsort(-(x @ of.T), axis=1)[:, :p] for x in (a, 0.9 * a + np.sqrt(1 - 0.81) * b)]
+        assert ((near[0][:, :, None] == near[1][:, None, :]).sum(axis=(1, 2)) >= 2).mean() > 0.95
+
+
 def test_mix_meets_targets(spark):
     rng = random.Random(6)
     rows = [(1000 + i, " ".join(["w"] * rng.randrange(0, 30)), "en", rng.choice(["a", "b", "c", "d", None])) for i in range(900)] + awkward()
