@@ -62,12 +62,15 @@ class Words(dict):
     def cut(self, text: str | None) -> list[str]:
         """Pieces of a text. The tokenizer lower-cases; doing so for ASCII first makes fewer of them.
 
-        A text that may spell a special token keeps its case, for that decides what it is.
+        Pieces with other characters keep their case: the tokenizer composes marks before it lower-cases.
+        A text that may spell a special token keeps its case too, for that decides what it is.
         """
         text = text or ""
-        if "<|" not in text:
-            text = text.encode("utf-8", "surrogatepass").lower().decode("utf-8", "surrogatepass")
-        return text.replace("\n", " ").split(" ")
+        if "<|" in text:
+            return text.replace("\n", " ").split(" ")
+        if text.isascii():
+            return text.lower().replace("\n", " ").split(" ")
+        return [x.lower() if x.isascii() else x for x in text.replace("\n", " ").split(" ")]
 
     def learn(self, lists: list[list[str]]) -> None:
         import numpy as np

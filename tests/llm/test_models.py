@@ -55,6 +55,14 @@ def test_file_holds_what_the_tokenizer_says(spark):
     assert tokenbin.encode(docs(spark), FILE).collect() == []
 
 
+def test_marks_after_capitals_are_composed_before_lower_case(spark):
+    made = ["J\u030c", "H\u0331", "T\u0308", "W\u030a", "Y\u030a", "The J\u030c and THE Plain\nY\u030a End", "PLAIN Words"]
+    got = {r.doc_id: (r.n_tokens, r.ids_crc32) for r in tokenbin.encode(docs(spark, [(k, x, "en", "z") for k, x in enumerate(made)]), FILE).collect()}
+    for k, x in enumerate(made):
+        ids = Tokenizer.from_file(FILE).encode(x, add_special_tokens=False).ids + [2]
+        assert got[k] == (len(ids), zlib.crc32(np.array(ids, "<u4").tobytes()))
+
+
 def test_languages_on_held_out_rows(spark):
     df = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     known = {r.doc_id: r.lang for r in df.select("doc_id", "lang").collect()}
