@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Callable, Iterator
 
@@ -17,11 +16,13 @@ WORD = r"[^\x20\x09-\x0D]+"
 def shared_dir(spark: SparkSession) -> str:
     """Folder that the driver and all executors share: spark.checkpoint.dir.
 
-    A folder of our own is made only where the session names none, as in tests on one machine.
+    A local session may do without; a cluster may not, for no other machine would see a folder made up here.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        base = "file://" + tempfile.mkdtemp(prefix="strataleaf-")
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+        base = "file:///tmp/strataleaf-" + spark.sparkContext.applicationId
         spark.conf.set("spark.checkpoint.dir", base)
     return base.rstrip("/")
 
@@ -49,6 +50,17 @@ def drop(df: DataFrame) -> None:
             folder.getFileSystem(conf).delete(folder, True)
 
 
+def settle(spark: SparkSession) -> None:
+    """Let Spark delete the shuffle files of plans that written tables have replaced.
+
+    It does so once the driver's garbage is collected, which on its own may come long after a disk is full.
+    """
+    import gc
+
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def ensure(docs: DataFrame, **kinds: str) -> DataFrame:
     """Only the named columns, cast; columns of other names never clash with an operator's own."""
     return docs.select(*[F.col(f"`{name}`").cast(kind).alias(name) for name, kind in kinds.items()])
@@ -176,9 +188,52 @@ def bounds(table, keys: list[str]):
     return np.append(np.flatnonzero(change), table.num_rows)
 
 
-def near(df: DataFrame, least: int = 1_000_000) -> DataFrame:
-    """df, marked to be sent to every executor where it has at most `least` (small) rows.
+def near(df: DataFrame, least: int = 1_000_000, weight: Column | None = None) -> DataFrame:
+    """df, marked to be sent to every executor where it has at most `least` (small) rows, or a sum of weights up to it.
 
     Beyond that the join shuffles both sides. df must be cheap to count, as a written table is.
     """
-    return F.broadcast(df) if df.limit(least + 1).count() <= least else df
+    if weight is not None:
+        small = (df.agg(F.sum(weight).alias("n")).first().n or 0) <= least
+    else:
+        small = df.limit(least + 1).count() <= least
+    return F.broadcast(df) if small else df
+
+
+def slices_of(batches: Iterator, most: int = 1024) -> Iterator:
+    """Batches in slices of at most so many rows, none empty."""
+    for batch in batches:
+        for lo in range(0, batch.num_rows, most):
+            yield batch.slice(lo, most)
+
+
+def texts_of(batches: Iterator) -> Iterator:
+    for batch in slices_of(batches, 256):
+        yield from batch.column("text").to_pylist()
+
+
+def lean(run: Callable) -> Callable:
+    """An Arrow function whose worker gives the memory of a task back at the task's end."""
+
+    def held(batches):
+        try:
+            yield from run(batches)
+        finally:
+            release()
+
+    return held
+
+
+def release() -> None:
+    """Give freed memory back to the system; workers live on between tasks."""
+    import ctypes
+    import gc
+
+    import pyarrow as pa
+
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # another C library
+        pass

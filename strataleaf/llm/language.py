@@ -24,7 +24,7 @@ import re
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import ensure, materialize
+from .common import ensure, lean, materialize, near, slices_of
 
 PIECES, PIECE = 64, 1000
 #: Characters encoded at once.
@@ -43,15 +43,18 @@ def fit(docs: DataFrame, pieces: int = PIECES, piece: int = PIECE) -> dict[str,
     """Raw-content dictionary of each language among the labelled rows that are not held out."""
     rows = ensure(docs, doc_id="long", text="string", lang="string")
     rows = rows.where(F.col("lang").isNotNull() & ~held_out() & (F.length(F.trim("text")) > 0))
-    # Only hashes and ids are ranked; copies of one text share a hash and count once.
-    keys = rows.select("lang", F.xxhash64("text").alias("h"), "doc_id").groupBy("lang", "h").agg(F.min("doc_id").alias("doc_id"))
-    first = keys.withColumn("k", F.row_number().over(Window.partitionBy("lang").orderBy("h"))).where(F.col("k") <= pieces)
-    first = materialize(first.select("lang", "h", "doc_id"), "lang-sample")
+    # Only hashes are ranked; copies of one text share a hash and count once. The lowest hashes win, so all but about
+    # the lowest 4 * pieces of a language go by a threshold before any are gathered.
+    hashed = rows.select("lang", F.xxhash64("text").alias("h"), "text")
+    sizes = hashed.groupBy("lang").agg(F.approx_count_distinct("h").alias("n"))
+    share = F.least(F.lit(1.0), 4.0 * pieces / F.col("n"))
+    bar = sizes.select("lang", F.when(F.col("n") <= 4 * pieces, F.lit((1 << 63) - 1)).otherwise((share * 2.0**64 - 2.0**63).cast("long")).alias("bar"))
+    low = hashed.join(near(materialize(bar, "lang-bars")), "lang").where("h <= bar").select("lang", "h").distinct()
+    first = low.withColumn("k", F.row_number().over(Window.partitionBy("lang").orderBy("h"))).where(F.col("k") <= pieces)
+    first = materialize(first.select("lang", "h"), "lang-sample")
     # A window of the text at a place its hash decides.
     start = (F.pmod("h", F.greatest(F.length("text") - piece + 1, F.lit(1))) + 1).cast("int")
-    ids = [r.doc_id for r in first.select("doc_id").collect()]  # pieces a language at most
-    near = rows.where(F.col("doc_id").isin(ids)).select("lang", F.xxhash64("text").alias("h"), F.col("text"))
-    cut = near.select("lang", "h", F.substring(F.col("text"), start, F.lit(piece)).alias("cut")).distinct().collect()
+    cut = hashed.join(near(first), ["lang", "h"]).groupBy("lang", "h").agg(F.min(F.substring(F.col("text"), start, F.lit(piece))).alias("cut")).collect()  # pieces a language at most
     out: dict[str, list] = {}
     for r in sorted(cut, key=lambda r: (r.lang, r.h)):
         out.setdefault(r.lang, []).append(folded(r.cut))
@@ -94,7 +97,7 @@ def classify(docs: DataFrame, dictionaries: dict[str, bytes], window: int = WIND
 
         letter = regex.compile(r"\p{L}")
         sizes = encoder(dictionaries, window)
-        for batch in batches:
+        for batch in slices_of(batches):
             pred, score, gaps = [], [], []
             for text in batch.column("text").to_pylist():
                 if not langs or not text or not letter.search(text):
@@ -112,4 +115,4 @@ def classify(docs: DataFrame, dictionaries: dict[str, bytes], window: int = WIND
                 names=["doc_id", "held_out", "lang_pred", "score", "rejected", "margin"],
             )
 
-    return rows.mapInArrow(run, "doc_id long, held_out boolean, lang_pred string, score double, rejected boolean, margin double")
+    return rows.mapInArrow(lean(run), "doc_id long, held_out boolean, lang_pred string, score double, rejected boolean, margin double")

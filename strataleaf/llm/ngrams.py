@@ -12,11 +12,13 @@ A document's set holds the 64-bit hashes of its distinct 5-word shingles. Two do
    the one most of whose hashes are shared), which settles most lists and large groups of copies in
    linear time. Verified links give provisional components.
    Candidate pairs are held to the bound of 4 before their sets are.
-4. R-tree: a list whose members are still in several components is searched for the rest. Hashes
-   fall into GROUPS groups, and a class is the point of its counts by group. Points are packed
-   by size into leaves that keep the greatest count of each group; the summed minima of two points, or
-   of two leaves' bounds, bound the overlap, and pairs of leaves or points that cannot link are
-   skipped, as are pairs already in one component. Long lists are dealt block against block.
+4. R-tree: a list whose members are still in several components is searched for the rest. The hashes
+   of a set of n fall into at least n / 2 groups (a power of two, so that points fold onto one another), and
+   the class is the point of its counts by group. Points are packed by size and by their most telling
+   coordinates into nodes of FAN, these into nodes of the next level, up to a root; a node keeps the
+   greatest count of each group. The tree is searched with itself from the root down: the summed minima of two nodes
+   or points bound the overlap, and pairs that cannot link are not opened, as are those already in one component.
+   Long lists are dealt block against block.
 5. Every surviving pair is verified on its whole sets.
 
 Nulls: a null or wordless text has an empty set, n_shingles 0 and its own component; a null doc_id
@@ -27,19 +29,21 @@ columns are ignored. Unequal sets share a 64-bit class with probability n*n/2**6
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import bounds, connected_components, drop, ensure, materialize, near, whole_groups
+from .common import bounds, connected_components, drop, ensure, lean, materialize, near, settle, slices_of, texts_of, whole_groups
 
 WORDS, NUMERATOR, DENOMINATOR = 5, 75, 100
-GROUPS, LEAF, BLOCK = 256, 32, 1024
-#: Sets of more than LONG hashes have a second, finer point, of a group for every two hashes, at most FINEST.
-LONG, FINEST = 1024, 8192
+GROUPS, FAN, BLOCK = 64, 8, 1024
 FULL = 255
 #: Hashes that a sample of 1/SAMPLE of the rows finds often, at most HINTS: they come last in the order.
-SAMPLE, HINTS = 8, 1 << 16
+SAMPLE, HINTS, SALTS = 8, 1 << 18, 64
 ENTRIES = 1_000_000
+#: Counts that are compared at once.
+CELLS = 1 << 21
+#: Words whose hashes a task remembers.
+REMEMBER = 1 << 17
 
 
 class Hashes(dict):
@@ -48,7 +52,7 @@ class Hashes(dict):
     def __missing__(self, word: bytes) -> int:
         import xxhash
 
-        if len(self) > 1 << 20:
+        if len(self) > REMEMBER:
             self.clear()
         x = self[word] = xxhash.xxh3_64_intdigest(word)
         return x
@@ -77,15 +81,43 @@ def needed(n: int) -> int:
     return -(-NUMERATOR * n // DENOMINATOR)
 
 
-def counts_of(hashes, groups: int = GROUPS):
+def groups_of(n: int) -> int:
+    """Groups of a set of n hashes: a power of two, one for every two hashes or more."""
+    return max(GROUPS, 1 << max(0, n // 2 - 1).bit_length())
+
+
+def counts_of(hashes):
     import numpy as np
 
+    groups = groups_of(len(hashes))
     return np.minimum(np.bincount((hashes & np.uint64(groups - 1)).astype(np.int64), minlength=groups), FULL).astype(np.uint8)
 
 
-def fine_groups(n: int) -> int:
-    """Groups of a long set's finer point: a power of two, so that points of two sizes fold onto each other."""
-    return min(FINEST, 1 << max(0, n // 2 - 1).bit_length())
+def packed(points: list) -> list[bytes]:
+    """Points as they are written and shuffled: small counts need few bits."""
+    import zstandard
+
+    coder = zstandard.ZstdCompressor(level=1, write_checksum=False)
+    return [coder.compress(x.tobytes()) for x in points]
+
+
+def unpacked(points: list) -> list[bytes]:
+    import zstandard
+
+    coder = zstandard.ZstdDecompressor()
+    return [coder.decompress(x) for x in points]
+
+
+def stacked(rows, width: int):
+    """Points of like length as a matrix, folded to a smaller width; a full count stays full."""
+    import numpy as np
+
+    x = np.frombuffer(b"".join(rows), np.uint8).reshape(len(rows), -1, width)
+    if x.shape[1] == 1:
+        return x[:, 0]
+    total = np.minimum(x.sum(axis=1, dtype=np.int64), FULL)
+    total[(x == FULL).any(axis=1)] = FULL
+    return total.astype(np.uint8)
 
 
 def bound(a, b):
@@ -110,20 +142,28 @@ def hints(docs: DataFrame) -> list[int]:
         import numpy as np
         import pyarrow as pa
 
-        known, held = Hashes(), []
-        for batch in batches:
-            held += [shingles(t, known) for t in batch.column("text").to_pylist()]
-        if held:
-            h, n = np.unique(np.concatenate(held), return_counts=True)
-            h, n = h[n > 1], n[n > 1]
-            yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(n.astype(np.int64))], names=["h", "n"])
+        known, h, n, held, size = Hashes(), np.empty(0, np.uint64), np.empty(0, np.int64), [], 0
+
+        def added():
+            every, at = np.unique(np.concatenate([h, *held]), return_inverse=True)
+            return every, np.bincount(at, np.concatenate([n, np.ones(size, np.int64)]), len(every)).astype(np.int64)
+
+        for text in texts_of(batches):
+            held.append(shingles(text, known))
+            size += len(held[-1])
+            if size > 1 << 21:
+                h, n = added()
+                held, size = [], 0
+        h, n = added()
+        h, n = h[n > 1], n[n > 1]
+        yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(n)], names=["h", "n"])
 
-    found = some.mapInArrow(run, "h long, n long").groupBy("h").agg(F.sum("n").alias("n")).where("n > 3")
+    found = some.mapInArrow(lean(run), "h long, n long").groupBy("h").agg(F.sum("n").alias("n")).where("n > 3")
     return [r.h for r in found.orderBy(F.desc("n"), "h").limit(HINTS).collect()]
 
 
 def described(docs: DataFrame, last: list[int]) -> DataFrame:
-    """doc_id, n, cls, prefix, counts, fine of every row."""
+    """doc_id, n, cls, prefix (and late, the frequent hashes of it), counts of every row."""
     import numpy as np
 
     sent = docs.sparkSession.sparkContext.broadcast(np.sort(np.array(last, np.int64).view(np.uint64)))
@@ -132,68 +172,64 @@ def described(docs: DataFrame, last: list[int]) -> DataFrame:
         import pyarrow as pa
         import xxhash
 
-        known, late = Hashes(), sent.value
-        for batch in batches:
-            n, cls, prefix, counts, fine = [], [], [], [], []
+        known, frequent = Hashes(), sent.value
+        names = ["doc_id", "n", "cls", "prefix", "late", "counts"]
+        kinds = [pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.binary()]
+        for batch in slices_of(batches):
+            n, cls, prefix, late, counts = [], [], [], [], []
             for text in batch.column("text").to_pylist():
                 h = shingles(text, known)
                 size = len(h)
-                n.append(size), cls.append(xxhash.xxh3_64_intdigest(h.tobytes()) - (1 << 63)), counts.append(counts_of(h).tobytes())
-                fine.append(counts_of(h, fine_groups(size)).tobytes() if size > LONG else None)
+                n.append(size), cls.append(xxhash.xxh3_64_intdigest(h.tobytes()) - (1 << 63)), counts.append(counts_of(h))
                 keep = size - needed(size) + 1 if size else 0
-                if keep and len(late):
-                    often = late[np.minimum(np.searchsorted(late, h), len(late) - 1)] == h
-                    if often.any():
-                        h = np.concatenate([h[~often], h[often]])
-                prefix.append(h[:keep].view(np.int64))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(n, pa.int64()), pa.array(cls, pa.int64()), pa.array(prefix, pa.list_(pa.int64())), pa.array(counts, pa.binary()), pa.array(fine, pa.binary())],
-                names=["doc_id", "n", "cls", "prefix", "counts", "fine"],
-            )
+                often = np.empty(0, np.uint64)
+                if keep and len(frequent):
+                    there = frequent[np.minimum(np.searchsorted(frequent, h), len(frequent) - 1)] == h
+                    if there.any():
+                        h, often = h[~there], h[there]
+                prefix.append(h[:keep].view(np.int64).copy()), late.append(often[: max(0, keep - len(h))].view(np.int64))
+            rows = (batch.column("doc_id"), n, cls, prefix, late, packed(counts))
+            yield pa.RecordBatch.from_arrays([x if isinstance(x, pa.Array) else pa.array(x, t) for x, t in zip(rows, kinds, strict=True)], names=names)
 
-    return docs.mapInArrow(run, "doc_id long, n long, cls long, prefix array<long>, counts binary, fine binary")
+    return docs.mapInArrow(lean(run), "doc_id long, n long, cls long, prefix array<long>, late array<long>, counts binary")
 
 
-def shared_entries(entries: DataFrame, last: list[int], tasks: int) -> DataFrame:
-    """(key, cls, n) of the entries whose key another class of a suitable size has too.
+def shared_entries(sets: DataFrame, tasks: int) -> DataFrame:
+    """(key, cls, n, w) of the entries whose key another class of a suitable size has too; w: log of the list's length, about.
 
-    Keys known as frequent are dealt out by class as well and all go on: their lists are not gathered here.
+    Frequent hashes are dealt out by class as well and all go on: their lists are not gathered here.
     """
-    import numpy as np
-
-    late = np.sort(np.array(last, np.int64))
-    sent = entries.sparkSession.sparkContext.broadcast(late)
 
     def run(batches):
+        import numpy as np
         import pyarrow as pa
 
         held = [b for b in batches if b.num_rows]
         if not held:
             return
         table = pa.Table.from_batches(held)
-        key, cls, n = (table.column(c).to_numpy() for c in ("key", "cls", "n"))
+        key, cls, n, salt = (table.column(c).to_numpy() for c in ("key", "cls", "n", "salt"))
+        del held, table
         order = np.lexsort((cls, n, key))
-        key, cls, n = key[order], cls[order], n[order]
+        key, cls, n, salt = key[order], cls[order], n[order], salt[order]
         first = np.ones(len(key), bool)
         first[1:] = (key[1:] != key[:-1]) | (cls[1:] != cls[:-1]) | (n[1:] != n[:-1])
-        key, cls, n = key[first], cls[first], n[first]
+        key, cls, n, salt = key[first], cls[first], n[first], salt[first]
         # By size, the next member of the list is the nearest in size.
         suits = (key[1:] == key[:-1]) & (DENOMINATOR * n[:-1] >= NUMERATOR * n[1:])
-        keep = np.zeros(len(key), bool)
+        keep = salt >= 0
         keep[1:] |= suits
         keep[:-1] |= suits
-        known = sent.value
-        if len(known):
-            keep |= known[np.minimum(np.searchsorted(known, key), len(known) - 1)] == key
-        yield pa.RecordBatch.from_arrays([pa.array(key[keep]), pa.array(cls[keep]), pa.array(n[keep])], names=["key", "cls", "n"])
+        starts = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
+        w = np.repeat(np.log(np.diff(np.append(starts, len(key)))), np.diff(np.append(starts, len(key))))
+        w = (w + np.where(salt >= 0, np.log(SALTS), 0)).astype(np.float32)
+        key, cls, n, w = key[keep], cls[keep], n[keep], w[keep]
+        for k in range(0, len(key), 1 << 16):
+            yield pa.RecordBatch.from_arrays([pa.array(x[k : k + (1 << 16)]) for x in (key, cls, n, w)], names=["key", "cls", "n", "w"])
 
-    often = F.array_contains(F.lit(last), F.col("key")) if len(last) <= 64 else None
-    if often is None:
-        hot = entries.sparkSession.createDataFrame([(x,) for x in last], "key long").withColumn("hot", F.lit(1))
-        entries = entries.join(F.broadcast(hot), "key", "left").withColumn("salt", F.when(F.col("hot") == 1, F.pmod("cls", F.lit(64))).otherwise(0)).drop("hot")
-    else:
-        entries = entries.withColumn("salt", F.when(often, F.pmod("cls", F.lit(64))).otherwise(0))
-    return entries.repartition(tasks, "key", "salt").select("key", "cls", "n").mapInArrow(run, "key long, cls long, n long")
+    plain = sets.select(F.explode("prefix").alias("key"), "cls", "n", F.lit(-1).alias("salt"))
+    often = sets.select(F.explode("late").alias("key"), "cls", "n", F.pmod("cls", F.lit(SALTS)).cast("int").alias("salt"))
+    return plain.unionByName(often).repartition(tasks, "key", "salt").mapInArrow(lean(run), "key long, cls long, n long, w float")
 
 
 def _apart(pairs: DataFrame, comps: DataFrame) -> DataFrame:
@@ -205,50 +241,31 @@ def _apart(pairs: DataFrame, comps: DataFrame) -> DataFrame:
 
 
 def prune(pairs: DataFrame, points: DataFrame, *more: str) -> DataFrame:
-    """Pairs (a, b) of classes that the bound by counts lets pass; long sets are held to their finer points too."""
-    passed = materialize(_pruned(pairs, points, "counts", *more), "ngram-passed")
-    long = points.where(F.col("fine").isNotNull()).select("cls", "n", "fine")
-    ids = long.select("cls")
-    both = passed.join(ids.withColumnRenamed("cls", "a"), "a", "left_semi").join(ids.withColumnRenamed("cls", "b"), "b", "left_semi")
-    both = materialize(both, "ngram-long")
-    rest = passed.join(both.select("a", "b"), ["a", "b"], "left_anti")
-    return rest.select("a", "b", *more).unionByName(_pruned(both, long, "fine", *more))
-
-
-def _pruned(pairs: DataFrame, points: DataFrame, counts: str, *more: str) -> DataFrame:
-    one = points.select(F.col("cls").alias("a"), F.col("n").alias("n_a"), F.col(counts).alias("c_a"))
-    two = points.select(F.col("cls").alias("b"), F.col("n").alias("n_b"), F.col(counts).alias("c_b"))
+    """Pairs (a, b) of classes that the bound by counts lets pass."""
+    one = points.select(F.col("cls").alias("a"), F.col("n").alias("n_a"), F.col("counts").alias("c_a"))
+    two = points.select(F.col("cls").alias("b"), F.col("n").alias("n_b"), F.col("counts").alias("c_b"))
 
     def run(batches):
         import numpy as np
         import pyarrow as pa
 
-        def stacked(rows, width):
-            x = np.frombuffer(b"".join(rows), np.uint8).reshape(len(rows), -1, width)
-            if x.shape[1] == 1:
-                return x[:, 0]
-            # Folded; a full count stays full.
-            total = np.minimum(x.sum(axis=1, dtype=np.int64), FULL)
-            total[(x == FULL).any(axis=1)] = FULL
-            return total.astype(np.uint8)
-
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            c_a, c_b = batch.column("c_a").to_pylist(), batch.column("c_b").to_pylist()
+        for batch in slices_of(batches, 2048):
+            c_a, c_b = unpacked(batch.column("c_a").to_pylist()), unpacked(batch.column("c_b").to_pylist())
             n_a, n_b = batch.column("n_a").to_numpy(), batch.column("n_b").to_numpy()
             keep = np.zeros(batch.num_rows, bool)
             sizes: dict[tuple[int, int], list[int]] = {}
             for k, (x, y) in enumerate(zip(c_a, c_b, strict=True)):
                 sizes.setdefault((len(x), len(y)), []).append(k)
-            for (x, y), rows in sizes.items():
+            for (x, y), every in sizes.items():
                 width = min(x, y)
-                over = bound(stacked([c_a[k] for k in rows], width), stacked([c_b[k] for k in rows], width))
-                keep[rows] = may_link(over, n_a[rows], n_b[rows])
+                for lo in range(0, len(every), max(1, CELLS // max(x, y))):
+                    rows = every[lo : lo + max(1, CELLS // max(x, y))]
+                    over = bound(stacked([c_a[k] for k in rows], width), stacked([c_b[k] for k in rows], width))
+                    keep[rows] = may_link(over, n_a[rows], n_b[rows])
             yield batch.select(["a", "b", *more]).filter(pa.array(keep))
 
     joined = pairs.join(one, "a").join(two, "b").where((DENOMINATOR * F.least("n_a", "n_b")) >= NUMERATOR * F.greatest("n_a", "n_b"))
-    return joined.select("a", "b", *more, "n_a", "n_b", "c_a", "c_b").mapInArrow(run, ", ".join(f"{x} long" for x in ("a", "b", *more)))
+    return joined.select("a", "b", *more, "n_a", "n_b", "c_a", "c_b").mapInArrow(lean(run), ", ".join(f"{x} long" for x in ("a", "b", *more)))
 
 
 def verify(docs: DataFrame, pairs: DataFrame, points: DataFrame, tasks: int, most: int = 256) -> DataFrame:
@@ -258,28 +275,32 @@ def verify(docs: DataFrame, pairs: DataFrame, points: DataFrame, tasks: int, mos
     against. A b with many partners has several places, each with its own copy of b's set.
     """
     pairs = materialize(pairs.select("a", "b").distinct(), "ngram-check")
-    places = materialize(pairs.groupBy("b").agg(F.ceil(F.count(F.lit(1)) / most).cast("int").alias("places")), "ngram-places")
-    goes = pairs.join(places, "b").select(F.col("a").alias("cls"), F.col("b").alias("to"), F.pmod(F.xxhash64("a"), F.col("places")).cast("int").alias("place"))
+    # The end with more partners stays, so that even a star of many goes to few places.
+    degree = pairs.select(F.explode(F.array("a", "b")).alias("x")).groupBy("x").agg(F.count(F.lit(1)).alias("d"))
+    both = pairs.join(degree.select(F.col("x").alias("a"), F.col("d").alias("d_a")), "a").join(degree.select(F.col("x").alias("b"), F.col("d").alias("d_b")), "b")
+    swap = F.col("d_a") > F.col("d_b")
+    led = materialize(both.select(F.when(swap, F.col("b")).otherwise(F.col("a")).alias("a"), F.when(swap, F.col("a")).otherwise(F.col("b")).alias("b")), "ngram-led")
+    places = materialize(led.groupBy("b").agg(F.ceil(F.count(F.lit(1)) / most).cast("int").alias("places")), "ngram-places")
+    goes = led.join(places, "b").select(F.col("a").alias("cls"), F.col("b").alias("to"), F.pmod(F.xxhash64("a"), F.col("places")).cast("int").alias("place"))
     stays = places.select(F.col("b").alias("cls"), F.col("b").alias("to"), F.explode(F.sequence(F.lit(0), F.col("places") - 1)).alias("place"))
     routes = goes.unionByName(stays).groupBy("cls").agg(F.collect_list(F.struct("to", "place")).alias("routes"))
     routes = materialize(routes.join(points.select("cls", "doc_id"), "cls"), "ngram-routes")
-    rows = docs.join(near(routes), "doc_id").select("cls", "routes", "text")
+    rows = docs.join(near(routes, weight=F.size("routes")), "doc_id").select("cls", "routes", "text")
 
     def send(batches):
         import pyarrow as pa
         import xxhash
 
         known = Hashes()
-        for batch in batches:
-            for lo in range(0, batch.num_rows, 64):
-                out = []
-                for r in batch.slice(lo, 64).to_pylist():
-                    bag = shingles(r["text"], known).tobytes()
-                    if xxhash.xxh3_64_intdigest(bag) - (1 << 63) == r["cls"]:  # a doc_id may stand for several texts
-                        out += [(x["to"], x["place"], int(x["to"] != r["cls"]), r["cls"], bag) for x in r["routes"]]
-                columns = list(zip(*out, strict=True)) if out else [()] * 5
-                kinds = [pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.binary()]
-                yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(columns, kinds, strict=True)], names=["to", "place", "other", "cls", "bag"])
+        kinds = [pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.binary()]
+        for batch in slices_of(batches, 64):
+            for r in batch.to_pylist():
+                bag = shingles(r["text"], known).tobytes()
+                if xxhash.xxh3_64_intdigest(bag) - (1 << 63) != r["cls"]:  # a doc_id may stand for several texts
+                    continue
+                for lo in range(0, len(r["routes"]), 64):
+                    columns = zip(*[(x["to"], x["place"], int(x["to"] != r["cls"]), r["cls"], bag) for x in r["routes"][lo : lo + 64]], strict=True)
+                    yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(columns, kinds, strict=True)], names=["to", "place", "other", "cls", "bag"])
 
     def meet(batches):
         import numpy as np
@@ -302,50 +323,105 @@ def verify(docs: DataFrame, pairs: DataFrame, points: DataFrame, tasks: int, mos
                         a.append(cls[k]), b.append(cls[lo])
             yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
-    sent = rows.mapInArrow(send, "to long, place int, other int, cls long, bag binary")
-    met = sent.repartition(tasks, "to", "place").sortWithinPartitions("to", "place", "other").mapInArrow(meet, "a long, b long")
-    return materialize(met.distinct(), "ngram-links")
+    sent = rows.mapInArrow(lean(send), "to long, place int, other int, cls long, bag binary")
+    met = sent.repartition(tasks, "to", "place").sortWithinPartitions("to", "place", "other").mapInArrow(lean(meet), "a long, b long")
+    out = materialize(met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "ngram-links")
+    for table in (pairs, led, places, routes):
+        drop(table)
+    settle(docs.sparkSession)
+    return out
+
+
+class Tree:
+    """A packed R-tree of points: levels of nodes with the greatest counts and the ranges of what lies below."""
+
+    def __init__(self, counts, n, comp, own, coarse, fan: int = FAN):
+        import numpy as np
+
+        self.levels, self.fan = [(counts, n, n, comp, comp, own, own, coarse)], fan
+        while len(self.levels[-1][0]) > fan * fan:  # the root holds what is left
+            high, n_low, n_high, c_low, c_high, o_low, o_high, some = self.levels[-1]
+            starts = np.arange(0, len(high), fan)
+            ways = ((np.maximum, high), (np.minimum, n_low), (np.maximum, n_high), (np.minimum, c_low), (np.maximum, c_high), (np.minimum, o_low), (np.maximum, o_high), (np.maximum, some))
+            self.levels.append(tuple(way.reduceat(x, starts, axis=0) for way, x in ways))
+
+    def passing(self, level: int, i, j, cross: bool):
+        """Which pairs of nodes of a level may hold a pair of rows that link and are apart."""
+        import numpy as np
+
+        high, n_low, n_high, c_low, c_high, o_low, o_high, some = self.levels[level]
+        least, most = np.minimum(n_low[i], n_low[j]), np.maximum(n_low[i], n_low[j])
+        ok = DENOMINATOR * np.minimum(n_high[i], n_high[j]) >= NUMERATOR * most
+        ok &= (c_low[i] != c_high[i]) | (c_low[j] != c_high[i]) | (c_high[j] != c_high[i])
+        ok &= some[i] | some[j]
+        if cross:
+            ok &= (o_low[i] != o_high[i]) | (o_low[j] != o_high[i]) | (o_high[j] != o_high[i])
+        at, step = np.flatnonzero(ok), max(1, CELLS // high.shape[1])
+        for k in range(0, len(at), step):
+            own = at[k : k + step]
+            ok[own] = may_link(bound(high[i[own]], high[j[own]]), least[own], most[own])
+        return ok
+
+    def search(self, cross: bool):
+        """Rows (i, j) that may link and are apart, by opening pairs of nodes from the root down."""
+        import numpy as np
+
+        out, top = [], len(self.levels) - 1
+        todo = [(top, *np.triu_indices(len(self.levels[top][0])))]
+        child = np.arange(self.fan)
+        while todo:
+            level, i, j = todo.pop()
+            if level == 0:
+                i, j = i[i < j], j[i < j]
+            ok = self.passing(level, i, j, cross)
+            i, j = i[ok], j[ok]
+            if level == 0:
+                out.append((i, j))
+                continue
+            below = len(self.levels[level - 1][0])
+            for k in range(0, len(i), 1024):  # depth first, so few pairs are open at a time
+                x = (i[k : k + 1024, None, None] * self.fan + child[:, None]) + 0 * child
+                y = (j[k : k + 1024, None, None] * self.fan + child) + 0 * child[:, None]
+                inside = (x < below) & (y < below) & (x <= y)
+                todo.append((level - 1, x[inside], y[inside]))
+        return np.concatenate([x for x, _ in out] or [np.empty(0, np.int64)]), np.concatenate([y for _, y in out] or [np.empty(0, np.int64)])
 
 
-def tree_pairs(comp, n, counts, own, cross: bool, leaf: int = LEAF):
-    """Pairs of rows that may link and are in different components, by a packed R-tree searched with itself."""
+def tree_pairs(comp, n, counts: list, own, cross: bool):
+    """Pairs of rows that may link and are in different components, by R-trees searched with themselves.
+
+    Points that link have like numbers of groups, or one twice the other's: there is a tree for each number,
+    with the points of twice as many groups folded onto it, for pairs that are not both folded.
+    """
     import numpy as np
 
-    order = np.lexsort((comp, n))
-    comp, n, counts, own = comp[order], n[order], counts[order], own[order]
-    starts = np.arange(0, len(n), leaf)
-    high = np.maximum.reduceat(counts, starts, axis=0)
-    n_low, n_high = np.minimum.reduceat(n, starts), np.maximum.reduceat(n, starts)
-    c_low, c_high = np.minimum.reduceat(comp, starts), np.maximum.reduceat(comp, starts)
-    out = []
-    for i in range(len(starts)):
-        j = np.arange(i, len(starts))
-        ok = DENOMINATOR * n_high[i] >= NUMERATOR * n_low[j]
-        ok &= ~((c_low[i] == c_high[i]) & (c_low[j] == c_high[i]) & (c_high[j] == c_high[i]))
-        j = j[ok]
-        j = j[may_link(bound(high[i], high[j]), n_low[i], n_low[j])]
-        a = np.arange(starts[i], min(starts[i] + leaf, len(n)))
-        for k in j:
-            b = np.arange(starts[k], min(starts[k] + leaf, len(n)))
-            ok = (comp[a][:, None] != comp[b][None, :]) & (DENOMINATOR * np.minimum(n[a][:, None], n[b][None, :]) >= NUMERATOR * np.maximum(n[a][:, None], n[b][None, :]))
-            if cross:
-                ok &= own[a][:, None] != own[b][None, :]
-            if k == i:
-                ok &= a[:, None] < b[None, :]
-            x, y = np.nonzero(ok)
-            if len(x):
-                x, y = a[x], b[y]
-                good = may_link(bound(counts[x], counts[y]), n[x], n[y])
-                out.append((order[x[good]], order[y[good]]))
-    if not out:
+    widths = np.array([len(c) for c in counts])
+    out_a, out_b = [], []
+    for width in np.unique(widths).tolist():
+        own_width = np.flatnonzero(widths == width)
+        folded = np.flatnonzero(widths == 2 * width)
+        rows = np.concatenate([own_width, folded])
+        if len(rows) < 2 or comp[rows].min() == comp[rows].max():
+            continue
+        points = np.concatenate([stacked([counts[k] for k in some], width) for some in (own_width, folded) if len(some)])
+        if len(rows) > FAN * FAN:
+            # Packed by size, and within like sizes by the coordinates that differ most.
+            band = (np.log(n[rows]) * 8).astype(np.int64)
+            telling = np.argsort(-points.var(axis=0))[:8]
+            place = ((points[:, telling] > np.median(points[:, telling], axis=0)) << np.arange(len(telling))).sum(axis=1)
+            order = np.lexsort((comp[rows], place, band))
+            rows, points = rows[order], points[order]
+        i, j = Tree(points, n[rows], comp[rows], own[rows], widths[rows] == width).search(cross)
+        out_a.append(rows[i]), out_b.append(rows[j])
+    if not out_a:
         return np.empty(0, np.int64), np.empty(0, np.int64)
-    return np.concatenate([o[0] for o in out]), np.concatenate([o[1] for o in out])
+    return np.concatenate(out_a), np.concatenate(out_b)
 
 
-def rest_pairs(entries: DataFrame, comps: DataFrame, points: DataFrame, tasks: int, block: int = BLOCK) -> DataFrame:
-    """Pairs that the stars leave: members of one list, in different components, that may link."""
+def rest_pairs(entries: DataFrame, comps: DataFrame, points: DataFrame, tasks: int, block: int = BLOCK) -> tuple[DataFrame, DataFrame]:
+    """Pairs that the stars leave: members of one list, in different components, that may link; and the written table behind."""
     placed = entries.select("key", "cls").join(comps, "cls", "left").withColumn("comp", F.coalesce("comp", "cls"))
-    lists = placed.groupBy("key").agg(F.count(F.lit(1)).alias("m"), F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.sum(F.xxhash64("cls").cast("decimal(38,0)")).alias("s"), F.bit_xor("cls").alias("x"))
+    lists = placed.groupBy("key").agg(F.count(F.lit(1)).alias("m"), F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.bit_xor(F.xxhash64("cls")).alias("s"), F.bit_xor("cls").alias("x"))
     # Up to three members are all paired by the stars; lists with the same members are searched once.
     lists = lists.where("m > 3 AND lo <> hi").groupBy("m", "s", "x").agg(F.min("key").alias("key")).select("key", F.ceil(F.col("m") / block).cast("int").alias("blocks"))
     lists = materialize(lists, "ngram-lists")
@@ -359,20 +435,21 @@ def rest_pairs(entries: DataFrame, comps: DataFrame, points: DataFrame, tasks: i
         import pyarrow as pa
 
         keys = ["key", "x", "y"]
-        for table in whole_groups(batches, keys):
+        for table in whole_groups(batches, keys, 4096):
             at = bounds(table, keys)
             cls, comp, own, n, x, y = (table.column(c).to_numpy() for c in ("cls", "comp", "own", "n", "x", "y"))
-            counts = np.frombuffer(b"".join(table.column("counts").to_pylist()), np.uint8).reshape(table.num_rows, -1)
+            points = table.column("counts")
             out = []
             for lo, hi in zip(at[:-1].tolist(), at[1:].tolist(), strict=True):
-                a, b = tree_pairs(comp[lo:hi], n[lo:hi], counts[lo:hi], own[lo:hi], bool(x[lo] != y[lo]))
+                counts = unpacked(points.slice(lo, hi - lo).to_pylist())
+                a, b = tree_pairs(comp[lo:hi], n[lo:hi], counts, own[lo:hi], bool(x[lo] != y[lo]))
                 if len(a):
                     one, two = cls[lo:hi][a], cls[lo:hi][b]
                     out.append((np.minimum(one, two), np.maximum(one, two)))
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([o[0] for o in out])), pa.array(np.concatenate([o[1] for o in out]))], names=["a", "b"])
 
-    return dealt.repartition(tasks, "key", "x", "y").sortWithinPartitions("key", "x", "y").mapInArrow(run, "a long, b long").distinct()
+    return dealt.repartition(tasks, "key", "x", "y").sortWithinPartitions("key", "x", "y").mapInArrow(lean(run), "a long, b long").distinct(), lists
 
 
 def components(docs: DataFrame) -> DataFrame:
@@ -382,26 +459,27 @@ def components(docs: DataFrame) -> DataFrame:
     last = hints(docs)
     sets = materialize(described(docs, last), "ngram-sets", compression="zstd")
     conf = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    total = sets.agg(F.coalesce(F.sum(F.size("prefix")), F.lit(0)).alias("n")).first().n
+    total = sets.agg(F.coalesce(F.sum(F.size("prefix") + F.size("late")), F.lit(0)).alias("n")).first().n
     tasks = max(conf, -(-total // ENTRIES))
-    entries = sets.select(F.explode("prefix").alias("key"), "cls", "n")
-    entries = materialize(shared_entries(entries, last, tasks), "ngram-entries")
+    entries = materialize(shared_entries(sets, tasks), "ngram-entries")
 
-    classes = sets.where("n > 0").groupBy("cls").agg(F.min("doc_id").alias("doc_id"), F.first("n").alias("n"), F.first("counts").alias("counts"), F.first("fine").alias("fine"), F.first(F.size("prefix")).alias("p"))
-    points = materialize(classes.join(entries.select("cls").distinct(), "cls", "left_semi"), "ngram-points")
+    settle(spark)
+    classes = sets.select("cls", "doc_id", "n", "counts").join(entries.select("cls").distinct(), "cls", "left_semi")
+    points = materialize(classes.groupBy("cls").agg(F.min("doc_id").alias("doc_id"), F.first("n").alias("n"), F.first("counts").alias("counts")), "ngram-points")
 
     # Stars. A class most of whose hashes are shared, and widely, stands in the middle of its copies.
     member = F.struct("cls", "n")
-    lists = entries.groupBy("key").agg(F.count(F.lit(1)).alias("m"), F.min(member).alias("lo"), F.max(member).alias("hi"))
-    scores = entries.join(lists.select("key", F.log("m").alias("w")), "key").groupBy("cls").agg(F.sum("w").alias("w")).join(points.select("cls", "p"), "cls").select("cls", (F.col("w") / F.col("p")).alias("score"))
-    middle = entries.join(scores, "cls").groupBy("key").agg(F.max_by(member, F.struct("score", "cls")).alias("mid"))
-    stars = entries.join(lists.join(middle, "key"), "key")
+    prefix = F.col("n") - F.ceil(NUMERATOR * F.col("n") / DENOMINATOR) + 1
+    scored = entries.withColumn("score", F.sum("w").over(Window.partitionBy("cls")) / prefix)
+    lists = scored.groupBy("key").agg(F.min(member).alias("lo"), F.max(member).alias("hi"), F.max_by(member, F.struct("score", "cls")).alias("mid"))
+    stars = entries.select("key", "cls", "n").join(lists, "key")
     pairs = stars.select("cls", "n", F.explode(F.array_distinct(F.array("lo", "hi", "mid"))).alias("star"))
     # Sizes that cannot link go before the pairs are counted.
     suits = DENOMINATOR * F.least("n", F.col("star.n")) >= NUMERATOR * F.greatest("n", F.col("star.n"))
     pairs = pairs.where(suits).select(F.col("cls").alias("a"), F.col("star.cls").alias("b")).where("a <> b")
     pairs = pairs.groupBy(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).agg(F.count(F.lit(1)).alias("shared"))
     pairs = materialize(prune(pairs, points, "shared"), "ngram-stars")
+    settle(spark)
     # First the partner with whom a class shares most, then the pairs that are still apart.
     ends = pairs.select(F.col("a").alias("cls"), F.col("b").alias("other"), "shared").unionByName(pairs.select(F.col("b").alias("cls"), F.col("a").alias("other"), "shared"))
     best = ends.groupBy("cls").agg(F.max_by("other", F.struct("shared", "other")).alias("other"))
@@ -409,11 +487,14 @@ def components(docs: DataFrame) -> DataFrame:
     links = verify(docs, best, points, conf)
     links = links.unionByName(verify(docs, _apart(pairs, connected_components(links)), points, conf))
     comps = connected_components(links)
-    more = rest_pairs(entries, comps.select(F.col("node").alias("cls"), F.col("component").alias("comp")), points, conf)
+    more, lists = rest_pairs(entries, comps.select(F.col("node").alias("cls"), F.col("component").alias("comp")), points, conf)
     more = materialize(more.join(pairs, ["a", "b"], "left_anti"), "ngram-rest")
-    more = prune(more, points)
-    drop(entries)
+    for table in (entries, pairs, lists):
+        drop(table)
+    settle(spark)
     comps = connected_components(links.unionByName(verify(docs, more, points, conf)))
+    drop(more)
+    drop(points)
 
     # Components are named by class hashes so far; each gets its smallest doc_id.
     whole = sets.where("n > 0").groupBy("cls").agg(F.min("doc_id").alias("doc_id")).join(comps.select(F.col("node").alias("cls"), F.col("component").alias("comp")), "cls", "left")

@@ -29,12 +29,12 @@ from array import array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import drop, ensure, materialize, new_path
+from .common import drop, ensure, lean, materialize, new_path, slices_of
 
 END, BLOCK, LANES, SCALE, STEP = 2, 1 << 18, 1024, 18, 128
 MAGIC = b"SRA1"
 #: Pieces whose ids a worker remembers.
-REMEMBER = 1 << 20
+REMEMBER = 1 << 17
 #: A lower-case word with marks after it, which the tokenizer takes apart; apostrophes may bind.
 PLAIN = re.compile(r"[a-z]+")
 MARKED = re.compile(r"([a-z]+)([!-&(-/:-@\[-`{-~]+)")
@@ -135,25 +135,23 @@ def tokenised(docs: DataFrame, file: str, partitions: int, end: int = END, block
 
         names = ["part", "block", "doc_ids", "lengths", "ids", "width", "counts"]
         kinds = [pa.int32(), pa.int32(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.binary(), pa.int32(), pa.binary()]
-        for batch in batches:
-            for lo in range(0, batch.num_rows, 64):
-                some = batch.slice(lo, 64)
-                lists = [words.cut(t) for t in some.column("text").to_pylist()]
-                words.learn(lists)
-                for doc_id, pieces in zip(some.column("doc_id").to_pylist(), lists, strict=True):
-                    raw = b"".join(map(words.__getitem__, pieces)) + last
-                    n = len(raw) // np.dtype(kind).itemsize
-                    if size and size + n > block:
-                        yield flush()
-                    ids.append(raw), held.append(doc_id), lengths.append(n)
-                    size += n
+        for some in slices_of(batches, 64):
+            lists = [words.cut(t) for t in some.column("text").to_pylist()]
+            words.learn(lists)
+            for doc_id, pieces in zip(some.column("doc_id").to_pylist(), lists, strict=True):
+                raw = b"".join(map(words.__getitem__, pieces)) + last
+                n = len(raw) // np.dtype(kind).itemsize
+                if size and size + n > block:
+                    yield flush()
+                ids.append(raw), held.append(doc_id), lengths.append(n)
+                size += n
         if held:
             yield flush()
         if at:
             row = ([part], [-1], [None], [None], [None], [None], [counts.tobytes()])
             yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(row, kinds, strict=True)], names=names)
 
-    return rows.mapInArrow(run, "part int, block int, doc_ids array<long>, lengths array<long>, ids binary, width int, counts binary")
+    return rows.mapInArrow(lean(run), "part int, block int, doc_ids array<long>, lengths array<long>, ids binary, width int, counts binary")
 
 
 def shares(counts, scale: int = SCALE):
@@ -298,7 +296,7 @@ def write(docs: DataFrame, path: str, file: str, partitions: int | None = None,
         import pyarrow as pa
 
         coder = Coder(sent.value)
-        for batch in batches:
+        for batch in slices_of(batches, 8):
             rows = batch.to_pylist()
             out = [coder.encode(np.frombuffer(r["ids"], f"<u{r['width']}"), r["lengths"]) for r in rows]
             yield pa.RecordBatch.from_arrays(
@@ -307,7 +305,7 @@ def write(docs: DataFrame, path: str, file: str, partitions: int | None = None,
             )
 
     blocks = raw.where("block >= 0").select("part", "block", "doc_ids", "lengths", "ids", "width")
-    blocks.mapInArrow(encode, "part int, block int, doc_ids array<long>, n_ids long, payload binary").write.option("compression", "none").parquet(f"{path}/blocks")
+    blocks.mapInArrow(lean(encode), "part int, block int, doc_ids array<long>, n_ids long, payload binary").write.option("compression", "none").parquet(f"{path}/blocks")
     drop(raw)
 
 
@@ -334,7 +332,7 @@ def read(spark, path: str) -> DataFrame:
         import pyarrow as pa
 
         coder = Coder(sent.value)
-        for batch in batches:
+        for batch in slices_of(batches, 8):
             for r in batch.to_pylist():
                 ids, lengths = coder.decode(r["payload"])
                 raw, ends = memoryview(ids.astype("<u4").tobytes()), np.cumsum(lengths.astype(np.int64))
@@ -345,7 +343,7 @@ def read(spark, path: str) -> DataFrame:
                     names=["doc_id", "start", "n_tokens", "ids_crc32"],
                 )
 
-    return placed.select("doc_ids", "payload", "start").mapInArrow(decode, "doc_id long, start long, n_tokens long, ids_crc32 long")
+    return placed.select("doc_ids", "payload", "start").mapInArrow(lean(decode), "doc_id long, start long, n_tokens long, ids_crc32 long")
 
 
 def encode(docs: DataFrame, file: str, path: str | None = None) -> DataFrame:
