@@ -179,3 +179,17 @@ def test_pipeline_stages(spark):
     final = P.STAGES[-1][1](spark, docs_, SF)
     assert final.count() == docs_.count()
     assert P.run(spark, SF).count() == docs_.count()
+
+
+def test_common_and_short_items(spark):
+    import random
+
+    r = random.Random(4)
+    some = lambda n: " ".join(f"w{r.randrange(3000)}" for _ in range(n))
+    item = "the quick river crosses nineteen old stones before it turns south and meets the grey sea near port"
+    short, tiny = "Who painted the blue harbour door?", "blue door"
+    rows = [(k, f"{some(60)} {item} {some(40)}", "en", "s") for k in range(100)]
+    rows += [(200, f"{some(9)} who painted THE blue harbour door {some(9)}", "en", "s"), (201, "who painted a blue harbour door", "en", "s"), (202, "Blue door.", "en", "s"), (203, "a blue door", "en", "s")]
+    bench = spark.createDataFrame([(1, item), (2, some(25)), (3, short), (4, tiny)], "item_id long, text string")
+    got = {(x.doc_id, x.item_id) for x in decontaminate.find(docs(spark, rows), bench).collect()}
+    assert got == {(k, 1) for k in range(100)} | {(200, 3), (202, 4)}
