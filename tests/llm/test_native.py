@@ -79,8 +79,69 @@ def test_urls_are_the_brute_force(spark):
     assert urlfilter.judge(df.limit(0)).collect() == []
 
 
+APACHE = """/*
+ * Copyright 2020 Somebody
+ *
+ * Licensed under the Apache License, Version 2.0 (the "License");
+ * you may not use this file except in compliance with the License.
+ * You may obtain a copy of the License at
+ *
+ *     http://www.apache.org/licenses/LICENSE-2.0
+ *
+ * Unless required by applicable law or agreed to in writing, software
+ * distributed under the License is distributed on an "AS IS" BASIS,
+ * WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.
+ * See the License for the specific language governing permissions and
+ * limitations under the License.
+ */"""
+GPL3 = """# This program is free software: you can redistribute it and/or modify
+# it under the terms of the GNU General Public License as published by
+# the Free Software Foundation, either version 3 of the License, or
+# (at your option) any later version.
+#
+# This program is distributed in the hope that it will be useful,
+# but WITHOUT ANY WARRANTY; without even the implied warranty of
+# MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the
+# GNU General Public License for more details."""
+
+
+def text_of(*ids, wrap=0, mark="."):
+    import textwrap
+
+    whole = f"{mark} ".join(licenses.SENTENCES[x] for x in ids) + mark
+    return "\n".join(textwrap.wrap(whole, wrap)) if wrap else whole
+
+
+def test_licences_of_real_texts(spark):
+    rows = [
+        (1, APACHE, "Apache-2.0/header"), (2, text_of("apache2-licensed-the", mark=";") + " " + text_of("apache2-not-use", "apache2-obtain") + "\n\nhttp://x\n\n" + text_of("apache2-as-is", "apache2-see"), "Apache-2.0/header"), (3, GPL3, "GPL-3.0-or-later/header"),
+        (4, "MIT License\n\nCopyright (c) 2020 X\n\n" + text_of("mit-permission", mark=":") + "\n\n" + text_of("mit-notice", "mit-as-is", wrap=72), "MIT/text"),
+        (5, text_of("bsd-redistribution", mark=":") + "\n\n1. " + text_of("bsd-source", wrap=70) + "\n2. " + text_of("bsd-binary", wrap=60) + "\n\n" + text_of("bsd-as-is", wrap=72), "BSD-2-Clause/text"),
+        (6, text_of("bsd-redistribution", mark=":") + "\n* " + text_of("bsd-source") + "\n* " + text_of("bsd-binary") + "\n* " + text_of("bsd-names") + "\n\n" + text_of("bsd-as-is"), "BSD-3-Clause/text,BSD-2-Clause/text"),
+        (7, "// This Source Code Form is subject to the terms of the Mozilla Public\n// License, v. 2.0. If a copy of the MPL was not distributed with this\n// file, You can obtain one at https://mozilla.org/MPL/2.0/.", "MPL-2.0/header"),
+        (8, "This library is free software; you can redistribute it and/or\nmodify it under the terms of the GNU Lesser General Public\nLicense as published by the Free Software Foundation; either\nversion 2.1 of the License, or (at your option) any later version.", "LGPL-2.1-or-later/header"),
+        (9, text_of("isc-permission", wrap=75) + "\n\n" + text_of("isc-as-is", wrap=75), "ISC/text"),
+        (10, "no full stop here\nReleased under the MIT License", "MIT/notice"), (11, "x\n# SPDX-License-Identifier: GPL-2.0-or-later\ny", "GPL-2.0-or-later/spdx"),
+        (12, text_of("bsd-redistribution") + " other words" * 2000 + ". " + text_of("bsd-source", "bsd-binary", "bsd-as-is"), ""),
+        (13, "We have released under the MIT License a thing", ""), (14, "This program is free software.", ""),
+    ]
+    got = {r.doc_id: r.evidence for r in licenses.scan(docs(spark, [(i, t, "en", "z") for i, t, _ in rows])).collect()}
+    assert got == {i: e for i, _, e in rows}
+    con = duckdb.connect()
+    con.execute("CREATE TABLE documents (doc_id BIGINT, text VARCHAR)")
+    con.executemany("INSERT INTO documents VALUES (?, ?)", [(i, t) for i, t, _ in rows])
+    assert {r[0]: r[2] for r in con.execute(licenses.sql()).fetchall()} == got
+
+
+def test_every_licence_sentence_finds_itself(spark):
+    names = sorted(licenses.SENTENCES)
+    made = [(k, f"First words. {licenses.SENTENCES[x]}. Last words", "en", "z") for k, x in enumerate(names)]
+    got = {r.doc_id: r.sentence_ids for r in licenses.scan(docs(spark, made)).collect()}
+    assert got == dict(enumerate(names))
+
+
 def test_licences_bear_awkward_rows_and_match_sql(spark):
-    made = ["Released under the MIT License.", "x. Licensed under the Apache License, Version 2.0; you may not use this file except in compliance with the License\ndistributed under the License is distributed on an \"AS IS\" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.", "MIT License", "released UNDER the mit license!\nLicensed under CC BY-NC 4.0."]
+    made = ["Released under the MIT License.", APACHE, "MIT License", "released UNDER the mit license!\nLicensed under CC BY-NC 4.0."]
     rows = awkward() + [(20 + k, t, "en", "z") for k, t in enumerate(made)]
     got = {r.doc_id: r for r in licenses.scan(docs(spark, rows)).collect()}
     assert got[20].licenses == "MIT" and got[21].evidence == "Apache-2.0/header" and got[22].licenses == "" and got[23].licenses == "CC-BY-NC-4.0,MIT"
