@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import collections
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -39,37 +41,42 @@ def search(df: DataFrame, key: str, text: str, variants: list[list[str]], limit:
     found = with_tokens(found, text).where(matches(F.col("tokens"), variants))
     if candidates is not None:
         found = found.orderBy(key).limit(candidates)
-    words = sorted({w for words in variants for w in words})
-    rank = sum((rank_single(F.col("tokens"), w) for w in words), F.lit(0.0))
+    told = [words for words in variants if words]
+    if not told:
+        return found.withColumn("rank", F.lit(0.0)).drop("tokens").limit(0)
+    rank = rank_single(F.col("tokens"), told[0][0]) if len(told) == 1 and len(set(told[0])) == 1 else cover_density(told)(F.col("tokens"))
     return found.withColumn("rank", F.round(rank, 6)).drop("tokens").orderBy(F.desc("rank"), key).limit(limit)
 
 
-def cover_density(words: list[str]):
-    """Rank of the shortest stretches that hold all words: weight over the words beside them."""
+def covers(row, variants: list[set]) -> float:
+    """Sum over the shortest stretches that hold every word of a variant: weight over one and the words between.
+
+    Stretches are found from left to right; the next one begins after the place where the last one did.
+    """
+    need = set().union(*variants)
+    hits = [(place, word) for place, word in enumerate(row) if word in need]
+    total, left, counts = 0.0, 0, collections.Counter()
+    for right, (place, word) in enumerate(hits):
+        counts[word] += 1
+        while any(all(counts[w] for w in words) for words in variants):
+            first, gone = hits[left]
+            counts[gone] -= 1
+            if not any(all(counts[w] for w in words) for words in variants):
+                between = place - first - (right - left)
+                total += WEIGHT / (1 + between)
+            left += 1
+    return round(total, 6)
+
+
+def cover_density(variants: list[list[str]]):
+    """Cover density rank of token arrays for variants, each a list of words that all must be there."""
 
     @F.pandas_udf("double")
     def rank(tokens_):
         import pandas as pd
 
-        need = set(words)
-
-        def one(row) -> float:
-            hits = [(k, t) for k, t in enumerate(row) if t in need]
-            total, left, counts = 0.0, 0, {}
-            for place, word in hits:
-                counts[word] = counts.get(word, 0) + 1
-                while len(counts) == len(need):
-                    first, gone = hits[left]
-                    if counts[gone] == 1:
-                        inside = sum(first <= p <= place for p, _ in hits[left:])
-                        total += WEIGHT * len(need) / max(1, len(need) + (place - first + 1 - inside))
-                    counts[gone] -= 1
-                    if not counts[gone]:
-                        del counts[gone]
-                    left += 1
-            return round(total, 6)
-
-        return pd.Series([one(row) for row in tokens_])
+        sets = [set(words) for words in variants if words]
+        return pd.Series([covers(row, sets) for row in tokens_])
 
     return rank
 
@@ -86,13 +93,13 @@ def distances(vector: Column, query: list[float]) -> dict[str, Column]:
     norm = F.sqrt(_sum(F.transform(v, lambda a: a * a)))
     own = sum(float(x) ** 2 for x in query) ** 0.5
     return {
-        "cosine": F.lit(1.0) - dot / (norm * F.lit(own)),
+        "cosine": F.lit(1.0) - F.try_divide(dot, norm * F.lit(own)),
         "l2": F.sqrt(_sum(F.zip_with(v, q, lambda a, b: (a - b) * (a - b)))),
         "inner": -dot,
     }
 
 
 def nearest(df: DataFrame, key: str, vector: str, query: list[float], kind: str = "cosine", limit: int = 20) -> DataFrame:
-    """The nearest vectors of the query's length; ties by key."""
+    """The nearest vectors of the query's length; ties by key. A zero vector has no direction: its cosine distance is null and comes last."""
     fit = df.where(F.size(vector) == len(query))
-    return fit.select(key, F.round(distances(F.col(vector), query)[kind], 9).alias("distance")).orderBy("distance", key).limit(limit)
+    return fit.select(key, F.round(distances(F.col(vector), query)[kind], 9).alias("distance")).orderBy(F.asc_nulls_last("distance"), key).limit(limit)

@@ -126,10 +126,12 @@ def json_predicate(spark, sf_dir):
     return table(spark, sf_dir, "events").select("event_id", k.alias("k")).where("k >= 5")
 
 
-@query("SELECT lang, string_agg(DISTINCT source, '; ' ORDER BY source) AS sources FROM documents GROUP BY lang")
+@query("SELECT lang, string_agg(source, '; ' ORDER BY first, source) AS sources FROM (SELECT lang, source, min(doc_id) AS first FROM documents WHERE source <> '' GROUP BY lang, source) GROUP BY lang")
 def distinct_join(spark, sf_dir):
-    """Distinct values joined in order."""
-    return table(spark, sf_dir, "documents").groupBy("lang").agg(F.array_join(F.sort_array(F.collect_set("source")), "; ").alias("sources"))
+    """Distinct values joined in the order of their first occurrence."""
+    first = table(spark, sf_dir, "documents").where("source <> ''").groupBy("lang", "source").agg(F.min("doc_id").alias("first"))
+    named = F.transform(F.sort_array(F.collect_list(F.struct("first", "source"))), lambda x: x["source"])
+    return first.groupBy("lang").agg(F.array_join(named, "; ").alias("sources"))
 
 
 @query("SELECT conv_id, CAST(sum(length(text)) AS BIGINT) AS chars, CASE WHEN sum(length(text)) / count(*) >= 200 THEN 'ok' ELSE 'needs_ocr' END AS text_status, bool_or(role = 'assistant' AND trim(text) <> '') AS has_body FROM conversations GROUP BY conv_id")

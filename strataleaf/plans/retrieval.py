@@ -48,12 +48,13 @@ def fts_candidate_cap(spark, sf_dir):
 def fts_cover_density(spark, sf_dir):
     """Cover density of several words."""
     found = R.with_tokens(table(spark, sf_dir, "documents").select("doc_id", "text"), "text").where(R.matches(F.col("tokens"), [["the", "with"]]))
-    return found.select("doc_id", R.cover_density(["the", "with"])(F.col("tokens")).alias("rank")).orderBy(F.desc("rank"), "doc_id").limit(50)
+    return found.select("doc_id", R.cover_density([["the", "with"]])(F.col("tokens")).alias("rank")).orderBy(F.desc("rank"), "doc_id").limit(50)
 
 
 def _knn(spark, sf_dir, kind):
     vectors = table(spark, sf_dir, "embeddings")
-    query_vector = vectors.where("vec_id = 0").select("embedding").first()[0]
+    first = vectors.where("vec_id = 0").select("embedding").first()
+    query_vector = first[0] if first else []
     return R.nearest(vectors, "vec_id", "embedding", query_vector, kind).select("vec_id", F.round("distance", 5).alias("distance"))
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..functions.text import token_count
@@ -38,7 +39,7 @@ def _labelled(spark, sf_dir):
 
 _LABELS = f"""{_TURNS},
 k AS (SELECT *, CASE role WHEN 'user' THEN 'cl' WHEN 'assistant' THEN 'it' ELSE 'nt' END AS abbr, CASE WHEN role = 'user' THEN CAST(length(text) % 3 AS VARCHAR) ELSE '' END AS number FROM p),
-b AS (SELECT *, CASE WHEN number = '' THEN abbr || row_number() OVER (PARTITION BY conv_id, parent, abbr ORDER BY turn) ELSE abbr || '_' || number END AS base FROM k),
+b AS (SELECT *, CASE WHEN number = '' THEN abbr || row_number() OVER (PARTITION BY conv_id, parent ORDER BY turn) ELSE abbr || '_' || number END AS base FROM k),
 l AS (SELECT *, base || CASE WHEN row_number() OVER (PARTITION BY conv_id, parent, base ORDER BY turn) = 1 THEN '' ELSE '_' || row_number() OVER (PARTITION BY conv_id, parent, base ORDER BY turn) END AS label FROM b)"""
 
 
@@ -84,15 +85,35 @@ def appendix_numbers(spark, sf_dir):
     return S.with_appendix_numbers(o, "o_custkey", "o_orderkey", "number").select("o_custkey", "o_orderkey", "appendix_number")
 
 
-_BLOCKS = ("1. First clause", "1.2. Sub clause", "(a) an item", "17.09.2026 yil matni", "25-modda. Umumiy", "I bob. Kirish", "Статья 5. Право", "Глава II. Общее", "2-bo'lim. Yer", "40.", "Plain paragraph.")
-
-
-@query("""SELECT * FROM (VALUES ('1. First clause', 'clause', '1', 6), ('1.2. Sub clause', 'subclause', '1.2', 7), ('(a) an item', 'item', 'a', 99), ('17.09.2026 yil matni', 'paragraph', '', 99),
- ('25-modda. Umumiy', 'article', '25', 5), ('I bob. Kirish', 'chapter', 'I', 4), ('Статья 5. Право', 'article', '5', 5), ('Глава II. Общее', 'chapter', 'II', 4), ('2-bo''lim. Yer', 'section', '2', 3), ('40.', 'clause', '40', 6), ('Plain paragraph.', 'paragraph', '', 99)) AS t(text, section_type, number, level)""".replace("99)", "CAST(99 AS BIGINT))").replace(", 6)", ", CAST(6 AS BIGINT))"))
+#: Blocks made of an order's columns: {0} its key, {1} its customer, {2} its priority; with the class they carry.
+_BLOCKS = (
+    ("{0}-modda. {2}", ""), ("modda {1}. {2}", ""), ("{0}-2-боб {2}", ""), ("IV bob. {2}", ""), ("{0} boʻlim {2}", ""), ("{0}-БЎЛИМ", ""), ("II қисм. {2}", ""), ("Статья {0}.1 {2}", ""), ("Глава XII. {2}", ""),
+    ("Раздел {1}. {2}", ""), ("часть {1}", ""), ("{0}. {2}", ""), ("{0}.{1}.3) {2}", ""), ("{0}.", ""), ("б) {2}", ""), ("({1}) {2}", ""), ("{2} modda {0}", ""), ("{0}.01.2024 {2}", ""), ("XIV. {2}", "TEXT_HEADER_DEFAULT"), ("{2} {0}", "TEXT_HEADER"),
+    ("{0}-ilova", "APPL_BANNER_TITLE"), ("Приложение № {1}", "APPL_BANNER"), ("Annex", "APPL_BANNER"), ("{0}-modda", "ACT_TITLE"), ("{0}", "ACT_ESSENTIAL_ELEMENTS_NUM"), ("{0}", "ACT_ESSENTIAL_ELEMENTS"), ("{2}", "SIGNATURE"), ("1. {2}", "TEXT_CENTER"), ("{0}-moddalar", "ACT_TEXT"),
+)
+_CSS = "CASE WHEN css LIKE 'APPL_BANNER%' THEN 'appendix' WHEN css LIKE 'ACT_TITLE%' THEN 'title' WHEN css LIKE 'ACT_FORM%' THEN 'form' WHEN css LIKE 'ACCEPTING_BODY%' THEN 'body' WHEN css LIKE 'ACT_ESSENTIAL_ELEMENTS_NUM%' THEN 'number' WHEN css LIKE 'ACT_ESSENTIAL_ELEMENTS%' THEN 'place_date' WHEN css LIKE 'SIGNATURE%' THEN 'signature' WHEN css LIKE 'DEPARTMENTAL%' OR css LIKE 'TEXT_CENTER%' THEN 'note' WHEN css LIKE 'FOOTNOTE%' THEN 'footnote' ELSE '' END"
+_AFTER = "'(?is)^(\\d+(?:[-–]\\d+)?|[IVXLC]+)\\s*[-–]?\\s*(modda|модда|bob|боб|bo[ʻʼ’‘`'']?lim|бўлим|қисм|qism)(?:[^\\p{L}\\p{N}_].*)?$'"
+_RU = "'(?is)^(статья|глава|раздел|часть)\\s+(\\d+(?:[-–.]\\d+)?|[IVXLC]+)(?:[^\\p{L}\\p{N}_].*)?$'"
+_BEFORE = "'(?is)^(modda|модда)\\s+(\\d+(?:[-–]\\d+)?)(?:[^\\p{L}\\p{N}_].*)?$'"
+
+
+@query(f"""WITH b AS (SELECT o_orderkey, replace(replace(replace(t, '{{0}}', CAST(o_orderkey AS VARCHAR)), '{{1}}', CAST(o_custkey AS VARCHAR)), '{{2}}', o_orderpriority) AS text, css FROM (
+ SELECT *, list_extract([{', '.join("'" + t.replace("'", "''") + "'" for t, _ in _BLOCKS)}], CAST(o_orderkey % {len(_BLOCKS)} AS INT) + 1) AS t, list_extract([{', '.join("'" + c + "'" for _, c in _BLOCKS)}], CAST(o_orderkey % {len(_BLOCKS)} AS INT) + 1) AS css FROM orders)),
+k AS (SELECT *, {_CSS} AS own, css LIKE 'TEXT_HEADER%' AS header, lower(regexp_extract(text, {_AFTER}, 2)) AS w1, lower(regexp_extract(text, {_BEFORE}, 1)) AS w2, lower(regexp_extract(text, {_RU}, 1)) AS w3, regexp_extract(text, '(?s)^(\\d+(?:\\.\\d+)*)[.)](?:\\s+\\S.*|\\s*)$', 1) AS c FROM b),
+r AS (SELECT *, CASE WHEN own <> '' THEN own WHEN w1 IN ('modda', 'модда') OR w2 <> '' OR w3 = 'статья' THEN 'article' WHEN w1 IN ('bob', 'боб') OR w3 = 'глава' THEN 'chapter' WHEN w1 IN ('қисм', 'qism') OR w3 = 'часть' THEN 'part' WHEN w1 <> '' OR w3 = 'раздел' THEN 'section'
+  WHEN header THEN 'chapter' WHEN c <> '' AND NOT contains(c, '.') THEN 'clause' WHEN c <> '' THEN 'subclause' WHEN regexp_matches(text, '(?is)^\\(?([a-zа-яўқғҳ]|\\d+)\\)\\s+\\S') THEN 'item' ELSE 'paragraph' END AS section_type FROM k)
+SELECT o_orderkey, text, section_type, CASE section_type WHEN 'appendix' THEN regexp_extract(text, '(\\d+)', 1) WHEN 'clause' THEN c WHEN 'subclause' THEN c WHEN 'item' THEN regexp_extract(text, '(?is)^\\(?([a-zа-яўқғҳ]|\\d+)\\)', 1)
+  ELSE CASE WHEN own <> '' THEN '' WHEN w1 <> '' THEN regexp_extract(text, {_AFTER}, 1) WHEN w2 <> '' THEN regexp_extract(text, {_BEFORE}, 2) WHEN w3 <> '' THEN regexp_extract(text, {_RU}, 2) WHEN header THEN regexp_extract(text, '^([IVXLC]+|\\d+)[.)]\\s', 1) ELSE '' END END AS number,
+ CAST(CASE section_type WHEN 'appendix' THEN 1 WHEN 'part' THEN 2 WHEN 'section' THEN 3 WHEN 'chapter' THEN 4 WHEN 'article' THEN 5 WHEN 'clause' THEN 6 WHEN 'subclause' THEN 6 + length(c) - length(replace(c, '.', '')) ELSE 99 END AS BIGINT) AS level FROM r""")
 def classify_block(spark, sf_dir):
-    """Section type of a block."""
-    rows = spark.createDataFrame([(b,) for b in _BLOCKS], "text string")
-    return rows.select("text", *[v.alias(k) for k, v in S.classify(F.col("text")).items()])
+    """Section type of a block by classes and words."""
+    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderpriority")
+    pick = (F.col("o_orderkey") % len(_BLOCKS)).cast("int") + 1
+    text = F.element_at(F.array(*[F.lit(t) for t, _ in _BLOCKS]), pick)
+    for k, c in enumerate(("o_orderkey", "o_custkey", "o_orderpriority")):
+        text = F.replace(text, F.lit(f"{{{k}}}"), F.col(c).cast("string"))
+    rows = o.select("o_orderkey", text.alias("text"), F.array(F.element_at(F.array(*[F.lit(c) for _, c in _BLOCKS]), pick)).alias("classes"))
+    return rows.select("o_orderkey", "text", *[v.alias(k) for k, v in S.classify(F.col("text"), F.col("classes")).items()])
 
 
 @query("""WITH RECURSIVE s AS (SELECT conv_id, turn, CASE WHEN length(text) = 0 THEN 0 ELSE CAST(greatest(ceil(length(text) / 3.2::DOUBLE), 1) AS BIGINT) END AS size, row_number() OVER (PARTITION BY conv_id ORDER BY turn) AS rn FROM conversations),
@@ -127,30 +148,38 @@ def chunk_full(spark, sf_dir):
     return C.chunk_versions(tree.select("doc_id", "ord", F.col("parent_order").alias("parent"), "section_type", "number", "text"), "doc_id")
 
 
-_EDGES = "(SELECT DISTINCT l_partkey % 400 AS a, l_suppkey % 50 + 1000 AS b FROM lineitem WHERE l_orderkey % 97 = 0)"
+_FIRST = "SELECT o_orderkey AS a, min(o_orderkey) OVER (PARTITION BY o_custkey) AS b FROM orders"
 
 
 def _edges(spark, sf_dir):
-    li = table(spark, sf_dir, "lineitem").where("l_orderkey % 97 = 0")
-    return li.select((F.col("l_partkey") % 400).alias("a"), (F.col("l_suppkey") % 50 + 1000).alias("b")).distinct()
+    """Every order points to its customer's first one."""
+    first = F.min("o_orderkey").over(Window.partitionBy("o_custkey"))
+    return table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("a"), first.alias("b"))
 
 
-@query("""WITH RECURSIVE e AS (SELECT DISTINCT l_suppkey AS a, (l_partkey * 7) % 100 AS b FROM lineitem WHERE l_orderkey % 499 = 0), r(root, node) AS (SELECT s_suppkey, s_suppkey FROM supplier WHERE s_suppkey <= 10 UNION SELECT r.root, e.b FROM r JOIN e ON e.a = r.node)
+@query(f"""WITH RECURSIVE f AS ({_FIRST}), e AS (SELECT a, b FROM f UNION SELECT b, a FROM f), r(root, node) AS (SELECT o_orderkey, o_orderkey FROM orders UNION SELECT r.root, e.b FROM r JOIN e ON e.a = r.node)
 SELECT root, CAST(count(DISTINCT node) AS BIGINT) AS reached FROM r GROUP BY root""")
 def graph_reachable_count(spark, sf_dir):
     """Distinct nodes below each root, cycles included."""
-    edges = table(spark, sf_dir, "lineitem").where("l_orderkey % 499 = 0").select(F.col("l_suppkey").alias("a"), (F.col("l_partkey") * 7 % 100).alias("b"))
-    roots = table(spark, sf_dir, "supplier").where("s_suppkey <= 10").select(F.col("s_suppkey").alias("root"))
+    edges = _edges(spark, sf_dir)
+    edges = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    roots = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("root"))
     return G.reachable(edges, "a", "b", roots).groupBy("root").agg(F.count_distinct("node").alias("reached"))
 
 
-@query(f"""WITH RECURSIVE e AS (SELECT a, b FROM {_EDGES} UNION SELECT b, a FROM {_EDGES}), r(node, other) AS (SELECT a, a FROM e UNION SELECT r.node, e.b FROM r JOIN e ON e.a = r.other)
+@query(f"""WITH RECURSIVE f AS ({_FIRST}), e AS (SELECT a, b FROM f UNION SELECT b, a FROM f), r(node, other) AS (SELECT a, a FROM e UNION SELECT r.node, e.b FROM r JOIN e ON e.a = r.other)
 SELECT node, min(other) AS component FROM r GROUP BY node""")
 def graph_components(spark, sf_dir):
     """Language groups: smallest member of each component."""
     return G.components(_edges(spark, sf_dir), "a", "b")
 
 
+@query()
+def graph_supply_components(spark, sf_dir):
+    """Components of parts and suppliers over every line item; too large a closure for SQL."""
+    return G.components(table(spark, sf_dir, "lineitem").select(F.col("l_partkey").alias("a"), (-F.col("l_suppkey") - 1).alias("b")), "a", "b")
+
+
 @query("""SELECT d.doc_id, g.group_id, CAST(count(o.doc_id) AS BIGINT) AS variants FROM documents d JOIN (SELECT text, min(doc_id) AS group_id FROM documents GROUP BY text) g ON g.text = d.text
  LEFT JOIN documents o ON o.text = d.text AND o.doc_id <> d.doc_id GROUP BY d.doc_id, g.group_id""")
 def group_variants(spark, sf_dir):

@@ -102,10 +102,10 @@ def latest_per_key(spark, sf_dir):
     return V.latest(table(spark, sf_dir, "orders").where("o_orderstatus = 'F'").select("o_custkey", "o_orderkey"), "o_custkey", [F.desc("o_orderkey")])
 
 
-@query("SELECT event_id, user_id, lag(value) OVER (PARTITION BY user_id ORDER BY ts) AS previous, value - lag(value) OVER (PARTITION BY user_id ORDER BY ts) AS changed FROM events")
+@query("SELECT event_id, user_id, lag(value) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS previous, value - lag(value) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS changed FROM events")
 def previous_snapshot(spark, sf_dir):
     """Change against the snapshot before."""
-    old = F.lag("value").over(Window.partitionBy("user_id").orderBy("ts"))
+    old = F.lag("value").over(Window.partitionBy("user_id").orderBy("ts", "event_id"))
     return _observed(spark, sf_dir).select("event_id", "user_id", old.alias("previous"), (F.col("value") - old).alias("changed"))
 
 
