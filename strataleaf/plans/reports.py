@@ -170,15 +170,6 @@ def admin_search(spark, sf_dir):
     return table(spark, sf_dir, "documents").where((src.endswith("1") | src.endswith("2")) & F.col("lang").isin("en", "de") & F.lower("text").contains("tion")).select("doc_id", "n_chars", "source")
 
 
-@query("SELECT doc_id, '[S: 1. ' || lang || ' / ' || source || '; 2. x]' AS raw, u.item AS code_label FROM documents, (SELECT unnest([1, 2]) AS k) ks, LATERAL (SELECT CASE k WHEN 1 THEN '1|' || lang || ' / ' || source ELSE '2|x' END AS item) u")
-def classification_rows(spark, sf_dir):
-    """Rows of a classification line."""
-    raw = F.concat(F.lit("[S: 1. "), "lang", F.lit(" / "), "source", F.lit("; 2. x]"))
-    items = F.split(F.regexp_extract(raw, r"^\[[^:]+:\s*(.*)\]$", 1), r";\s*")
-    item = F.concat(F.regexp_extract("item", r"^(\d+)\.\s*(.*)$", 1), F.lit("|"), F.regexp_extract("item", r"^(\d+)\.\s*(.*)$", 2))
-    return table(spark, sf_dir, "documents").select("doc_id", raw.alias("raw"), F.explode(items).alias("item")).select("doc_id", "raw", item.alias("code_label"))
-
-
 @query("SELECT o_custkey, o_orderkey FROM (SELECT * FROM (SELECT * FROM orders ORDER BY o_orderkey DESC LIMIT 20) WHERE o_orderstatus <> 'O' ORDER BY o_orderkey DESC LIMIT 1)")
 def last_full_job(spark, sf_dir):
     """The last full run among the newest twenty."""

@@ -64,47 +64,6 @@ def text_sentence_split(spark, sf_dir):
     return s.select("doc_id", F.size("s").cast("long").alias("n_sentences"), F.array_max(F.transform("s", lambda x: F.length(x))).cast("long").alias("longest"))
 
 
-_TITLES = ("PQ-330-son 17.09.2026. About roads", "04.11.1997. Treaty on water", "31.02.2026. Nonsense", "No number at all", "ПҚ-12-сон 01.02.2024. Йўл", "")
-
-
-@query("""SELECT * FROM (VALUES ('PQ-330-son 17.09.2026. About roads', 'PQ-330', DATE '2026-09-17', 'About roads'), ('04.11.1997. Treaty on water', '', DATE '1997-11-04', 'Treaty on water'),
- ('31.02.2026. Nonsense', '', NULL, '31.02.2026. Nonsense'), ('No number at all', '', NULL, 'No number at all'), ('ПҚ-12-сон 01.02.2024. Йўл', 'ПҚ-12', DATE '2024-02-01', 'Йўл'), ('', '', NULL, '')) AS t(raw, number, dated, title)""")
-def text_title_parse(spark, sf_dir):
-    """Number, date and title."""
-    return spark.createDataFrame([(t,) for t in _TITLES], "raw string").select("raw", *[v.alias(k) for k, v in text.title_parts(F.col("raw")).items()])
-
-
-@query("""SELECT * FROM (VALUES ('Действует', 'active'), ('Утратил силу', 'expired'), ('Не вступил в силу', 'not_yet_effective'), ('in force', 'active'), ('Amalda', 'active'), ('бекор қилинган', 'expired'), ('', 'unknown'), ('something', 'unknown')) AS t(raw, status)""")
-def text_status_map(spark, sf_dir):
-    """Status of a card's words."""
-    rows = ["Действует", "Утратил силу", "Не вступил в силу", "in force", "Amalda", "бекор қилинган", "", "something"]
-    return spark.createDataFrame([(r,) for r in rows], "raw string").select("raw", text.status_of(F.col("raw")).alias("status"))
-
-
-@query("""SELECT * FROM (VALUES ('етказиш', 'yetkazish', true), ('келиш', 'kelish', true), ('Ўзбекистон Қонуни', 'ozbekiston qonuni', true), ('поезд', 'poyezd', true), ('plain latin', 'plain latin', false), ('объект', 'obyekt', true)) AS t(word, latin, cyrillic)""")
-def translit_cyrillic(spark, sf_dir):
-    """Cyrillic to Latin."""
-    rows = ["етказиш", "келиш", "Ўзбекистон Қонуни", "поезд", "plain latin", "объект"]
-    w = F.col("word")
-    return spark.createDataFrame([(r,) for r in rows], "word string").select("word", text.cyrillic_to_latin(w).alias("latin"), text.has_cyrillic(w).alias("cyrillic"))
-
-
-@query("""SELECT * FROM (VALUES ('Ўзбекистон қонун', 'ўзбекистон қонун|ozbekiston qonun'), ('plain latin', 'plain latin'), ('Нigher', 'higher')) AS t(query, variants)""")
-def script_variants(spark, sf_dir):
-    """One or two search keys of a query."""
-    base = text.search_key(text.fold_mixed_scripts(F.col("query")))
-    folded = F.when(text.has_cyrillic(base), text.search_key(text.cyrillic_to_latin(base)))
-    variants = F.array_distinct(F.filter(F.array(base, folded), lambda x: x.isNotNull()))
-    rows = spark.createDataFrame([("Ўзбекистон қонун",), ("plain latin",), ("Нigher",)], "query string")
-    return rows.select("query", F.array_join(variants, "|").alias("variants"))
-
-
-@query("""SELECT * FROM (VALUES ('1 234', CAST(1234 AS BIGINT)), ('---', 0), ('17', 17), ('x', NULL)) AS t(raw, number)""")
-def text_plain_number(spark, sf_dir):
-    """Numbers of a statistics page."""
-    return spark.createDataFrame([("1 234",), ("---",), ("17",), ("x",)], "raw string").select("raw", text.plain_number(F.col("raw")).alias("number"))
-
-
 @query("""SELECT p_partkey, CASE WHEN length(p_name) <= 20 THEN p_name ELSE substr(p_name, 1, 17) || '...' END AS short_name,
  coalesce(nullif(trim(regexp_replace(p_brand, '[^A-Za-z0-9_]+', '_', 'g'), '_'), ''), 'x') AS label FROM part""")
 def short_title(spark, sf_dir):

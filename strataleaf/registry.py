@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from .plans import reports, retrieval, structure, texts, versions  # noqa: F401
+from .plans import cards, ingest, reports, retrieval, structure, texts, versions  # noqa: F401
 from .plans.common import QUERIES, SQL
 
 __all__ = ["QUERIES", "SQL"]
