@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import drop, ensure, global_index, grouped, materialize, word_count
+from .common import drop, ensure, global_index, grouped, materialize, near, word_count
 
 WEIGHTS, MOST, SEED = (5, 2, 1), 3, 20240229
 #: Rows that one task rounds at once, and residual chunks that meet at once.
@@ -133,7 +133,7 @@ def _settle(seed: int, last: bool):
 
 def mix(docs: DataFrame, weights=WEIGHTS, most: int = MOST, seed: int = SEED, chunk: int = CHUNK, fan_in: int = FAN_IN) -> DataFrame:
     """doc_id, size, source_size, target, taken, copies for every row of docs."""
-    rows = ensure(docs, doc_id="long", text="string", source="string").select("doc_id", "source", word_count(F.col("text")).alias("size"))
+    rows = ensure(docs, doc_id="long", text="string", source="string").select("doc_id", "source", word_count(F.col("text")).alias("size"), F.monotonically_increasing_id().alias("place"))
     rows = materialize(rows, "mix-rows")
     targets = source_targets(rows.groupBy("source").agg(F.sum("size").alias("source_size")), weights, most)
     targets = materialize(global_index(targets, [F.col("source").isNull(), F.col("source")], "source_at"), "mix-targets")
@@ -142,7 +142,12 @@ def mix(docs: DataFrame, weights=WEIGHTS, most: int = MOST, seed: int = SEED, ch
     ratio = F.when(F.col("source_size") > 0, F.least(F.lit(float(most)), F.col("target") / F.col("source_size"))).otherwise(0.0)
     # One small row a source; Spark broadcasts it below its own size limit and shuffles it above.
     known = targets.select(F.col("source").alias("__source"), "source_at", F.floor(ratio).cast("int").alias("whole"), (ratio - F.floor(ratio)).alias("part"))
-    wanted = rows.join(known, F.col("source").eqNullSafe(F.col("__source"))).select(F.pmod(F.xxhash64("doc_id", "size"), F.lit(chunks)).alias("chunk"), "source_at", "doc_id", "size", "whole", "part")
+    # A doc_id (or null) that fills a chunk many times over is dealt out by its rows' places; so few are these that they go to every task.
+    often = rows.groupBy("doc_id", "size").agg(F.count(F.lit(1)).alias("__n")).where(F.col("__n") > 4 * chunk)
+    often = near(materialize(often.select(F.col("doc_id").alias("__id"), F.col("size").alias("__size"), F.lit(True).alias("__often")), "mix-often"))
+    rows_at = rows.join(often, F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("size") == F.col("__size")), "left")
+    key = F.when(F.col("__often"), F.xxhash64("doc_id", "size", "place")).otherwise(F.xxhash64("doc_id", "size"))
+    wanted = rows_at.join(known, F.col("source").eqNullSafe(F.col("__source"))).select(F.pmod(key, F.lit(chunks)).alias("chunk"), "source_at", "doc_id", "size", "whole", "part")
     first = materialize(
         wanted.repartition(min(chunks, 4096), "chunk").sortWithinPartitions("chunk").mapInPandas(_first(seed), "chunk long, source_at long, doc_id long, size long, row long, copies int, left double"),
         "mix-first",

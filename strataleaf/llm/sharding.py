@@ -20,7 +20,7 @@ from collections.abc import Iterator
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import drop, ensure, grouped, materialize
+from .common import drop, ensure, grouped, materialize, near
 
 #: Groups that one task differences at once, and partial partitions combined at once.
 CHUNK, FAN_IN = 2048, 32
@@ -160,7 +160,12 @@ def assign_shards(docs: DataFrame, shards: int = 40, chunk: int = CHUNK, fan_in:
 
     # Slots: each shard's rows are numbered in bins of bounded size, on top of the rows before.
     bins = max(1, -(-int(total.n) // (shards * 1024)))
-    sharded = materialize(sharded.withColumn("bin", F.pmod(F.xxhash64("doc_id", "digest"), F.lit(bins)).cast("int")).drop("digest"), "shard-rows")
+    # Equal rows that would fill a bin many times over are dealt out by their places.
+    often = rows.groupBy("doc_id", "digest").agg(F.count(F.lit(1)).alias("__n")).where("__n > 4096")
+    often = near(materialize(often.select(F.col("doc_id").alias("__id"), F.col("digest").alias("__digest"), F.lit(True).alias("__often")), "shard-often"))
+    sharded = sharded.join(often, F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("digest") == F.col("__digest")), "left").withColumn("place", F.monotonically_increasing_id())
+    key = F.when(F.col("__often"), F.xxhash64("doc_id", "digest", "place")).otherwise(F.xxhash64("doc_id", "digest"))
+    sharded = materialize(sharded.withColumn("bin", F.pmod(key, F.lit(bins)).cast("int")).select("doc_id", "size", "text_crc32", "shard", "bin"), "shard-rows")
     drop(rows)
     sizes = sharded.groupBy("shard", "bin").agg(F.count(F.lit(1)).alias("n"))
     before = sizes.select("shard", "bin", (F.sum("n").over(Window.partitionBy("shard").orderBy("bin")) - F.col("n")).alias("before"))

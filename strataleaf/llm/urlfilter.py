@@ -19,11 +19,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import ensure
+from .common import ensure, materialize
 
 RULES = (("block", "net", "/"), ("allow", "example.net", "/en/"), ("block", "example.com", "/de/"), ("allow", "org", "/fr/"))
 #: Hex digits of the digest that the join is on.
 SHORT = 8
+#: A (host, path) with 1/HEAVY of all rows or more is joined by broadcast.
+HEAVY = 1024
 
 
 def lower_ascii(text: Column) -> Column:
@@ -58,13 +60,24 @@ def judge(pages: DataFrame, rules=RULES) -> DataFrame:
         F.filter(F.sequence(F.lit(1), F.greatest(F.least(slashes, F.lit(max(1, segments))), F.lit(1))), lambda k: k <= slashes),
         lambda k: F.concat(F.call_function("substring_index", F.col("path"), F.lit("/"), k), F.lit("/")),
     )
-    seen = rows.where("host <> '' AND path <> ''").select("host", "path").distinct()
+    seen = rows.where("host <> '' AND path <> ''").groupBy("host", "path").agg(F.count(F.lit(1)).alias("rows"))
     made = seen.withColumn("paths", paths).withColumn("suffix", F.explode(F.array_distinct(hosts))).withColumn("prefix", F.explode("paths"))
-    made = made.select("host", "path", F.sha2(F.concat("suffix", "prefix").cast("binary"), 256).alias("digest")).withColumn("short", F.substring("digest", 1, SHORT))
+    made = made.select("host", "path", "rows", F.sha2(F.concat("suffix", "prefix").cast("binary"), 256).alias("digest")).withColumn("short", F.substring("digest", 1, SHORT))
     met = made.join(rule_table(pages, rules), "short").where(F.col("digest") == F.col("rule_digest"))
     best = F.max(F.struct(F.length("rule").alias("n"), (F.col("verdict") == "block").alias("block"), F.col("rule"), F.col("verdict"))).alias("best")
-    found = met.groupBy("host", "path").agg(best).select("host", "path", F.col("best.rule").alias("rule"), F.col("best.verdict").alias("verdict"))
-    return rows.join(found, ["host", "path"], "left").select("page_id", "host", "path", "rule", F.coalesce("verdict", F.lit("allow")).alias("verdict"))
+    found = met.groupBy("host", "path").agg(best, F.first("rows").alias("rows")).select("host", "path", "rows", F.col("best.rule").alias("rule"), F.col("best.verdict").alias("verdict"))
+    # Pairs with at least 1/HEAVY of all rows number at most HEAVY and go to every task, judged or not; so no task gets all rows of one.
+    common = seen.where(F.col("rows") * HEAVY >= F.lit(rows.count())).select("host", "path").join(found, ["host", "path"], "left")
+    common = materialize(common.select("host", "path", "rule", "verdict"), "url-common")
+    rare = found.join(F.broadcast(common.select("host", "path")), ["host", "path"], "left_anti").select("host", "path", "rule", "verdict")
+    told = F.broadcast(common.select("host", "path", F.col("rule").alias("hot_rule"), F.col("verdict").alias("hot_verdict"), F.lit(True).alias("hot")))
+    every = rows.join(told, ["host", "path"], "left")
+    hot = every.where("hot").select("page_id", "host", "path", F.col("hot_rule").alias("rule"), F.col("hot_verdict").alias("verdict"))
+    # Rows with no url to speak of meet no rule, and need no join.
+    cold = every.where("hot IS NULL AND host <> '' AND path <> ''").select("page_id", "host", "path").join(rare, ["host", "path"], "left")
+    none = every.where("hot IS NULL AND (host = '' OR path = '')").select("page_id", "host", "path", F.lit(None).cast("string").alias("rule"), F.lit(None).cast("string").alias("verdict"))
+    out = hot.unionByName(cold).unionByName(none)
+    return out.select("page_id", "host", "path", "rule", F.coalesce("verdict", F.lit("allow")).alias("verdict"))
 
 
 #: The same in SQL, rule by rule.
