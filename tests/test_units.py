@@ -141,3 +141,62 @@ def test_stream_skips_late_observations(spark, tmp_path):
     query.stop()
     got = sorted((r.document, r.outcome, r.version) for r in spark.sql("SELECT * FROM outcomes").collect())
     assert got == [("d", "amended", 2), ("d", "new", 1), ("d", "skipped", 2), ("d", "unchanged", 2), ("e", "new", 1)]
+
+
+def test_covers_are_the_shortest_stretches():
+    from itertools import combinations
+
+    from strataleaf.operators import retrieval
+
+    def brute(row, words):
+        found = {(i, j) for i, j in combinations(range(len(row) + 1), 2) if words <= set(row[i:j])}
+        least = [(i, j) for i, j in found if (i + 1, j) not in found and (i, j - 1) not in found]
+        return round(sum(0.1 / (1 + sum(w not in words for w in row[i:j])) for i, j in least), 6)
+
+    assert retrieval.covers("a x b".split(), [{"a", "b"}]) == 0.05
+    assert retrieval.covers("a x y b".split(), [{"a", "b"}]) == round(0.1 / 3, 6)
+    assert retrieval.covers("a x a".split(), [{"a"}]) == 0.2
+    rng = random.Random(5)
+    for _ in range(300):
+        row = [rng.choice("abcdx") for _ in range(rng.randrange(12))]
+        words = set(rng.sample("abc", rng.randrange(1, 4)))
+        assert abs(retrieval.covers(row, [words]) - brute(row, words)) < 2e-6
+
+
+def test_twins_pass_the_labels_that_others_have(spark):
+    from strataleaf.operators import structure
+
+    rows = spark.createDataFrame([(1, 0, 0, "clause", "1"), (1, 0, 1, "clause", "1.2"), (1, 0, 2, "clause", "1"), (1, 0, 3, "item", "а"), (1, 0, 4, "paragraph", "")], "k long, up long, o long, t string, n string")
+    got = {r.o: r.label for r in structure.labels(rows, "k", "up", "o", "t", "n").collect()}
+    assert got == {0: "cl_1", 1: "cl_1_2", 2: "cl_1_3", 3: "it_a", 4: "p5"}
+
+
+def test_paths_of_any_depth(spark):
+    from strataleaf.operators import structure
+
+    rows = spark.createDataFrame([(1, k, k - 1 if k else None, f"l{k}") for k in range(40)], "k long, o long, up long, label string")
+    got = {r.o: (r.path, r.depth) for r in structure.paths(rows, "k", "o", "up", "label").collect()}
+    assert got[39] == (".".join(f"l{k}" for k in range(40)), 40)
+
+
+def test_zip_members_keep_to_their_bounds(spark, tmp_path):
+    import zipfile
+
+    from strataleaf.sources import archive
+
+    with zipfile.ZipFile(tmp_path / "a.zip", "w") as z:
+        z.writestr("x\\y/ok.pdf", b"%PDF-1" + b"a" * 20)
+        z.writestr("long.pdf", b"%PDF-1" + b"a" * 500)
+        z.writestr("other.txt", b"%PDF-1")
+        z.writestr("last.PDF", b"%PDF-2")
+    (tmp_path / "b.zip").write_bytes(b"no zip")
+    got = archive.zip_members(spark, str(tmp_path), one=100).collect()
+    assert sorted(r.name for r in got if r.name) == ["last.PDF", "ok.pdf"] and sum(r.error is not None for r in got) == 1
+
+
+def test_nearest_bears_zero_vectors(spark):
+    from strataleaf.operators import retrieval
+
+    rows = spark.createDataFrame([(1, [0.0, 0.0]), (2, [1.0, 0.0]), (3, None)], "vec_id long, embedding array<double>")
+    got = retrieval.nearest(rows, "vec_id", "embedding", [1.0, 0.0]).collect()
+    assert [(r.vec_id, r.distance) for r in got] == [(2, 0.0), (1, None)]
