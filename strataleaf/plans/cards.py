@@ -12,7 +12,7 @@ from .common import query, table
 _LINE = "'[OKOZ: 1. 01.02.03.' || lpad(CAST(p_size AS VARCHAR), 2, '0') || ' ' || p_brand || ' / ' || p_type || '; 2. no description; 3. plain / ' || p_name || '] text [ТСЗ : 1. ' || p_type || ' / 09.00.00.' || lpad(CAST(p_partkey % 100 AS VARCHAR), 2, '0') || ' x] [odd: 1. ]'"
 
 
-@query(f"""WITH g AS (SELECT p_partkey, unnest(regexp_extract_all({_LINE}, '\[([^\]:\[]+):([^\]]*)\]', 1)) AS name, unnest(regexp_extract_all({_LINE}, '\[([^\]:\[]+):([^\]]*)\]', 2)) AS body FROM part),
+@query(rf"""WITH g AS (SELECT p_partkey, unnest(regexp_extract_all({_LINE}, '\[([^\]:\[]+):([^\]]*)\]', 1)) AS name, unnest(regexp_extract_all({_LINE}, '\[([^\]:\[]+):([^\]]*)\]', 2)) AS body FROM part),
 e AS (SELECT p_partkey, lower(trim(name)) AS name, trim(regexp_replace(unnest(string_split(regexp_replace(trim(body), ';\s*(\d+\.\s)', chr(1) || '\1', 'g'), chr(1))), '^\s*\d+\.\s*', ''), ' ;') AS entry FROM g),
 i AS (SELECT *, list_filter(list_transform(string_split(entry, ' / '), lambda x: trim(x)), lambda x: x <> '') AS items FROM e WHERE entry <> '' AND NOT regexp_matches(entry, '(?i)no description') AND NOT regexp_matches(entry, '^\d+\.$'))
 SELECT p_partkey, CASE WHEN name IN ('okoz', 'окоз', 'lqbl') THEN 'okoz' WHEN name IN ('tsz', 'тсз', 'tdl') THEN 'tsz' ELSE name END AS system,
@@ -45,7 +45,7 @@ _REQ = "CASE o_orderkey % 4 WHEN 0 THEN 'Agency ' || o_custkey || ' qarori, ' ||
 _REQ_RE = r"'^(.+?),\s*(\d{2}\.\d{2}\.\d{4})\s*(?:йилдаги|yildagi|г\.?|от)?\s*(\S+?)(?:-(?:сон|son))?\s*$'"
 
 
-@query(f"""WITH r AS (SELECT o_orderkey, {_REQ} AS raw FROM orders), p AS (SELECT *, regexp_extract(raw, {_REQ_RE}, 1) AS who, regexp_extract(raw, {_REQ_RE}, 2) AS day FROM r)
+@query(rf"""WITH r AS (SELECT o_orderkey, {_REQ} AS raw FROM orders), p AS (SELECT *, regexp_extract(raw, {_REQ_RE}, 1) AS who, regexp_extract(raw, {_REQ_RE}, 2) AS day FROM r)
 SELECT o_orderkey, CASE WHEN ends_with(who, ' qarori') THEN regexp_extract(who, '^(.*) \\S+$', 1) ELSE who END AS authority, CASE WHEN ends_with(who, ' qarori') THEN 'qarori' ELSE '' END AS document_form, CASE WHEN day <> '' THEN strptime(day, '%d.%m.%Y')::DATE END AS adopted_at, regexp_extract(raw, {_REQ_RE}, 3) AS document_number FROM p""")
 def passport_requisites(spark, sf_dir):
     """Who adopted what and when, from one line."""
@@ -59,7 +59,7 @@ def passport_requisites(spark, sf_dir):
 _LABELLED = ("Ҳужжат тури", "Document form", "Статус документа", "unknown", "Дата вступления в силу", "Document type", "x")
 
 
-@query(f"""WITH p AS (SELECT o_custkey, o_orderkey, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) AS pos, count(*) OVER (PARTITION BY o_custkey) AS n, list_extract([{', '.join("'" + x + "'" for x in _LABELLED)}], CAST(o_orderkey % 7 AS INT) + 1) AS label FROM orders),
+@query(rf"""WITH p AS (SELECT o_custkey, o_orderkey, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) AS pos, count(*) OVER (PARTITION BY o_custkey) AS n, list_extract([{', '.join("'" + x + "'" for x in _LABELLED)}], CAST(o_orderkey % 7 AS INT) + 1) AS label FROM orders),
 f AS (SELECT *, coalesce(CASE label WHEN 'Ҳужжат тури' THEN 'doc_type' WHEN 'Document form' THEN 'doc_form' WHEN 'Статус документа' THEN 'status' WHEN 'Дата вступления в силу' THEN 'effective_from' WHEN 'Document type' THEN 'doc_type' END, CASE WHEN n = {len(C.CELLS)} THEN list_extract([{', '.join("'" + c + "'" for c in C.CELLS)}], pos) END) AS field FROM p)
 SELECT o_custkey, field, arg_min(CAST(o_orderkey AS VARCHAR), pos) AS value FROM f WHERE field IS NOT NULL GROUP BY o_custkey, field""")
 def card_values(spark, sf_dir):
@@ -73,7 +73,7 @@ def card_values(spark, sf_dir):
 _TITLE = "CASE o_orderkey % 5 WHEN 0 THEN 'PQ-' || o_orderkey || '-son ' || strftime(o_orderdate, '%d.%m.%Y') || '. About ' || o_orderpriority WHEN 1 THEN strftime(o_orderdate, '%d.%m.%Y') || '. Treaty ' || o_custkey WHEN 2 THEN '31.02.2026. Nonsense ' || o_custkey WHEN 3 THEN 'ПҚ-' || o_orderkey || '-СОН ' || strftime(o_orderdate, '%d.%m.%Y') || '. Йўл' ELSE 'No number ' || o_orderkey END"
 
 
-@query(f"""WITH r AS (SELECT o_orderkey, {_TITLE} AS raw FROM orders), p AS (SELECT *, regexp_matches(raw, '(?i)-(сон|son) \d') AS full_, regexp_extract(raw, '^(\d{{2}}\.\d{{2}}\.\d{{4}})\. ', 1) AS day FROM r)
+@query(rf"""WITH r AS (SELECT o_orderkey, {_TITLE} AS raw FROM orders), p AS (SELECT *, regexp_matches(raw, '(?i)-(сон|son) \d') AS full_, regexp_extract(raw, '^(\d{{2}}\.\d{{2}}\.\d{{4}})\. ', 1) AS day FROM r)
 SELECT o_orderkey, CASE WHEN full_ THEN regexp_extract(raw, '(?i)^(.+?)-(?:сон|son) ', 1) ELSE '' END AS number, CASE WHEN full_ THEN strptime(regexp_extract(raw, '(\d{{2}}\.\d{{2}}\.\d{{4}})', 1), '%d.%m.%Y')::DATE ELSE try_strptime(day, '%d.%m.%Y')::DATE END AS dated,
  CASE WHEN full_ THEN regexp_extract(raw, '\d{{4}}\. (.*)$', 1) WHEN try_strptime(day, '%d.%m.%Y') IS NOT NULL THEN raw[13:] ELSE raw END AS title FROM p""")
 def text_title_parse(spark, sf_dir):
@@ -87,7 +87,7 @@ def text_title_parse(spark, sf_dir):
 _STATUSES = ("Действует", "Утратил силу", "Не  вступил в силу", "In force since", "Amalda", "бекор қилинган", " ", "something", "kuchga kirmagan", "not yet valid", "Repealed", "reactive")
 
 
-@query(f"""WITH r AS (SELECT o_orderkey, lower(trim(list_extract([{', '.join("'" + x + "'" for x in _STATUSES)}], CAST(o_orderkey % {len(_STATUSES)} AS INT) + 1) || CASE WHEN o_orderkey % 2 = 0 THEN ' ' || o_custkey ELSE '' END)) AS raw FROM orders)
+@query(rf"""WITH r AS (SELECT o_orderkey, lower(trim(list_extract([{', '.join("'" + x + "'" for x in _STATUSES)}], CAST(o_orderkey % {len(_STATUSES)} AS INT) + 1) || CASE WHEN o_orderkey % 2 = 0 THEN ' ' || o_custkey ELSE '' END)) AS raw FROM orders)
 SELECT o_orderkey, CASE WHEN raw = '' THEN 'unknown' WHEN regexp_matches(raw, 'не\s+вступил|kuchga\s+kirmagan|кучга\s+кирмаган|not\s+yet') THEN 'not_yet_effective' WHEN regexp_matches(raw, 'утрат|бекор|bekor|йўқот|yo.?qot|отмен|expired|repealed|lost|прекрат') THEN 'expired'
  WHEN regexp_matches(raw, '^(?:действ|амалда|amalda|in force|active|valid|кучда|kuchda)') THEN 'active' ELSE 'unknown' END AS status FROM r""")
 def text_status_map(spark, sf_dir):

@@ -122,8 +122,8 @@ def html_to_text(spark, sf_dir):
 
 @query()
 def table_structure(spark, sf_dir):
-    """Cells of tables with their spans."""
-    made = F.concat(F.lit("<table><tr><th rowspan=2>Page</th><td>"), F.col("page_id").cast("string"), F.lit("</td></tr><tr><td colspan='2'>"), F.col("url"), F.lit("</td></tr></table>"))
+    """Cells of a page's tables with their spans; a table of its id and url stands at its end."""
+    made = F.concat("html", F.lit("<table><tr><th rowspan=2>Page</th><td>"), F.col("page_id").cast("string"), F.lit("</td></tr><tr><td colspan='2'>"), F.col("url"), F.lit("</td></tr></table>"))
     return table(spark, sf_dir, "pages").select("page_id", html.to_tables(made).alias("tables"))
 
 
