@@ -46,7 +46,7 @@ _REQ_RE = r"'^(.+?),\s*(\d{2}\.\d{2}\.\d{4})\s*(?:йилдаги|yildagi|г\.?|
 
 
 @query(rf"""WITH r AS (SELECT o_orderkey, {_REQ} AS raw FROM orders), p AS (SELECT *, regexp_extract(raw, {_REQ_RE}, 1) AS who, regexp_extract(raw, {_REQ_RE}, 2) AS day FROM r)
-SELECT o_orderkey, CASE WHEN ends_with(who, ' qarori') THEN regexp_extract(who, '^(.*) \\S+$', 1) ELSE who END AS authority, CASE WHEN ends_with(who, ' qarori') THEN 'qarori' ELSE '' END AS document_form, CASE WHEN day <> '' THEN strptime(day, '%d.%m.%Y')::DATE END AS adopted_at, regexp_extract(raw, {_REQ_RE}, 3) AS document_number FROM p""")
+SELECT o_orderkey, CASE WHEN ends_with(who, ' qarori') THEN regexp_extract(who, '^(.*) \S+$', 1) ELSE who END AS authority, CASE WHEN ends_with(who, ' qarori') THEN 'qarori' ELSE '' END AS document_form, CASE WHEN day <> '' THEN strptime(day, '%d.%m.%Y')::DATE END AS adopted_at, regexp_extract(raw, {_REQ_RE}, 3) AS document_number FROM p""")
 def passport_requisites(spark, sf_dir):
     """Who adopted what and when, from one line."""
     key, who, day = F.col("o_orderkey").cast("string"), F.col("o_custkey").cast("string"), F.date_format("o_orderdate", "dd.MM.yyyy")
