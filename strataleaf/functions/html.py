@@ -5,7 +5,13 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-BLOCKS = frozenset("p div li ul ol h1 h2 h3 h4 h5 h6 section article blockquote pre tr thead tbody tfoot caption center table br".split())
+# Tags that break lines, and tags whose text is not shown.
+BLOCKS = frozenset(
+    (
+        "p", "div", "li", "ul", "ol", "h1", "h2", "h3", "h4", "h5", "h6", "section", "article", "blockquote", "pre",
+        "tr", "thead", "tbody", "tfoot", "caption", "center", "table", "br",
+    )
+)
 SKIPPED = frozenset(("script", "style", "noscript"))
 CELL = T.StructType([T.StructField("t", T.StringType()), T.StructField("rs", T.IntegerType()), T.StructField("cs", T.IntegerType()), T.StructField("h", T.BooleanType())])
 
