@@ -6,7 +6,8 @@ A document's set holds the 64-bit hashes of its distinct 5-word shingles. Two do
 1. Copies (equal sets) are one class, told by a hash of the set.
 2. Candidates: with all hashes in one fixed order, two linked sets share a hash among the first
    n - ceil(0.75 n) + 1 of each. Only hashes that two classes of suitable sizes share there
-   go on. Hashes that a sample finds frequent come last in the order, which keeps common passages
+   go on, each with its place in the order: two sets that link share o >= 3/7 (n_a + n_b) hashes, so
+   the first that they share stands at a place of at most n - o in each. Hashes that a sample finds frequent come last in the order, which keeps common passages
    out of the lists; the order decides the cost, never the result.
 3. Stars: in each list, members are paired with three representatives (the least, the greatest, and
    the one most of whose hashes are shared), which settles most lists and large groups of copies in
@@ -81,6 +82,17 @@ def needed(n: int) -> int:
     return -(-NUMERATOR * n // DENOMINATOR)
 
 
+def first_of(n):
+    """Greatest place (from 0) at which a set of n has its first hash in common with a set that is no smaller."""
+    return n - -(-2 * NUMERATOR * n // (NUMERATOR + DENOMINATOR))
+
+
+def meets(n_a, pos_a, n_b, pos_b):
+    """A hash at these places may be the first that two linked sets share."""
+    least = NUMERATOR * (n_a + n_b)
+    return ((NUMERATOR + DENOMINATOR) * (n_a - pos_a) >= least) & ((NUMERATOR + DENOMINATOR) * (n_b - pos_b) >= least)
+
+
 def groups_of(n: int) -> int:
     """Groups of a set of n hashes: a power of two, one for every two hashes or more."""
     return max(GROUPS, 1 << max(0, n // 2 - 1).bit_length())
@@ -195,7 +207,9 @@ def described(docs: DataFrame, last: list[int]) -> DataFrame:
 
 
 def shared_entries(sets: DataFrame, tasks: int) -> DataFrame:
-    """(key, cls, n, w) of the entries whose key another class of a suitable size has too; w: log of the list's length, about.
+    """(key, cls, n, pos, w) of the entries whose key another class of a suitable size has too, at a place that suits.
+
+    pos is the key's place in the class's order, w the log of the list's length, about.
 
     Frequent hashes are dealt out by class as well and all go on: their lists are not gathered here.
     """
@@ -208,28 +222,31 @@ def shared_entries(sets: DataFrame, tasks: int) -> DataFrame:
         if not held:
             return
         table = pa.Table.from_batches(held)
-        key, cls, n, salt = (table.column(c).to_numpy() for c in ("key", "cls", "n", "salt"))
+        key, cls, n, pos, salt = (table.column(c).to_numpy() for c in ("key", "cls", "n", "pos", "salt"))
         del held, table
-        order = np.lexsort((cls, n, key))
-        key, cls, n, salt = key[order], cls[order], n[order], salt[order]
+        early = pos <= first_of(n)
+        order = np.lexsort((cls, ~early, n, key))
+        key, cls, n, pos, salt, early = key[order], cls[order], n[order], pos[order], salt[order], early[order]
         first = np.ones(len(key), bool)
         first[1:] = (key[1:] != key[:-1]) | (cls[1:] != cls[:-1]) | (n[1:] != n[:-1])
-        key, cls, n, salt = key[first], cls[first], n[first], salt[first]
-        # By size, the next member of the list is the nearest in size.
-        suits = (key[1:] == key[:-1]) & (DENOMINATOR * n[:-1] >= NUMERATOR * n[1:])
-        keep = salt >= 0
-        keep[1:] |= suits
-        keep[:-1] |= suits
+        key, cls, n, pos, salt, early = key[first], cls[first], n[first], pos[first], salt[first], early[first]
+        # By size, the last early member before one is the nearest in size of those that it may link with.
+        before = np.full(len(key), -1)
+        before[1:] = np.maximum.accumulate(np.where(early, np.arange(len(key)), -1))[:-1]
+        suits = (before >= 0) & (key[before] == key) & (DENOMINATOR * n[before] >= NUMERATOR * n)
+        keep = (salt >= 0) | suits
+        keep[before[suits]] = True
         starts = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
         w = np.repeat(np.log(np.diff(np.append(starts, len(key)))), np.diff(np.append(starts, len(key))))
         w = (w + np.where(salt >= 0, np.log(SALTS), 0)).astype(np.float32)
-        key, cls, n, w = key[keep], cls[keep], n[keep], w[keep]
+        key, cls, n, pos, w = key[keep], cls[keep], n[keep], pos[keep], w[keep]
         for k in range(0, len(key), 1 << 16):
-            yield pa.RecordBatch.from_arrays([pa.array(x[k : k + (1 << 16)]) for x in (key, cls, n, w)], names=["key", "cls", "n", "w"])
+            yield pa.RecordBatch.from_arrays([pa.array(x[k : k + (1 << 16)]) for x in (key, cls, n, pos, w)], names=["key", "cls", "n", "pos", "w"])
 
-    plain = sets.select(F.explode("prefix").alias("key"), "cls", "n", F.lit(-1).alias("salt"))
-    often = sets.select(F.explode("late").alias("key"), "cls", "n", F.pmod("cls", F.lit(SALTS)).cast("int").alias("salt"))
-    return plain.unionByName(often).repartition(tasks, "key", "salt").mapInArrow(lean(run), "key long, cls long, n long, w float")
+    plain = sets.select(F.posexplode("prefix").alias("pos", "key"), "cls", "n").withColumn("salt", F.lit(-1))
+    often = sets.select(F.posexplode("late").alias("pos", "key"), "cls", "n", "prefix").withColumn("pos", F.col("pos") + F.size("prefix"))
+    often = often.drop("prefix").withColumn("salt", F.pmod("cls", F.lit(SALTS)).cast("int"))
+    return plain.unionByName(often).repartition(tasks, "key", "salt").mapInArrow(lean(run), "key long, cls long, n long, pos int, w float")
 
 
 def _apart(pairs: DataFrame, comps: DataFrame) -> DataFrame:
@@ -421,11 +438,12 @@ def tree_pairs(comp, n, counts: list, own, cross: bool):
 def rest_pairs(entries: DataFrame, comps: DataFrame, points: DataFrame, tasks: int, block: int = BLOCK) -> tuple[DataFrame, DataFrame]:
     """Pairs that the stars leave: members of one list, in different components, that may link; and the written table behind."""
     placed = entries.select("key", "cls").join(comps, "cls", "left").withColumn("comp", F.coalesce("comp", "cls"))
-    lists = placed.groupBy("key").agg(F.count(F.lit(1)).alias("m"), F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.bit_xor(F.xxhash64("cls")).alias("s"), F.bit_xor("cls").alias("x"))
+    lists = placed.groupBy("key").agg(F.count(F.lit(1)).alias("m"), F.min("cls").alias("least"), F.max("cls").alias("most"), F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.bit_xor(F.xxhash64("cls")).alias("s"), F.bit_xor("cls").alias("x"))
     # Up to three members are all paired by the stars; lists with the same members are searched once.
-    lists = lists.where("m > 3 AND lo <> hi").groupBy("m", "s", "x").agg(F.min("key").alias("key")).select("key", F.ceil(F.col("m") / block).cast("int").alias("blocks"))
+    lists = lists.where("m > 3 AND lo <> hi").groupBy("m", "s", "x").agg(F.min(F.struct("key", "least", "most")).alias("l")).select("l.*", F.ceil(F.col("m") / block).cast("int").alias("blocks"))
     lists = materialize(lists, "ngram-lists")
-    members = placed.join(lists, "key").withColumn("own", F.pmod(F.xxhash64("cls"), F.col("blocks")).cast("int"))
+    # All pairs of a list's least and greatest class are stars.
+    members = placed.join(lists, "key").where("cls <> least AND cls <> most").withColumn("own", F.pmod(F.xxhash64("cls"), F.col("blocks")).cast("int"))
     both = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda v: F.struct(F.least(v, F.col("own")).alias("x"), F.greatest(v, F.col("own")).alias("y")))
     dealt = members.select("key", "cls", "comp", "own", F.explode(both).alias("p")).select("key", F.col("p.x").alias("x"), F.col("p.y").alias("y"), "cls", "comp", "own")
     dealt = dealt.join(points.select("cls", "n", "counts"), "cls")
@@ -466,17 +484,21 @@ def components(docs: DataFrame) -> DataFrame:
     settle(spark)
     classes = sets.select("cls", "doc_id", "n", "counts").join(entries.select("cls").distinct(), "cls", "left_semi")
     points = materialize(classes.groupBy("cls").agg(F.min("doc_id").alias("doc_id"), F.first("n").alias("n"), F.first("counts").alias("counts")), "ngram-points")
+    # The prefixes and the counts of the others are large and not read again.
+    whole = materialize(sets.select("doc_id", "n", "cls"), "ngram-ids")
+    drop(sets)
+    settle(spark)
 
     # Stars. A class most of whose hashes are shared, and widely, stands in the middle of its copies.
-    member = F.struct("cls", "n")
+    member = F.struct("cls", "n", "pos")
     prefix = F.col("n") - F.ceil(NUMERATOR * F.col("n") / DENOMINATOR) + 1
     scored = entries.withColumn("score", F.sum("w").over(Window.partitionBy("cls")) / prefix)
     lists = scored.groupBy("key").agg(F.min(member).alias("lo"), F.max(member).alias("hi"), F.max_by(member, F.struct("score", "cls")).alias("mid"))
-    stars = entries.select("key", "cls", "n").join(lists, "key")
-    pairs = stars.select("cls", "n", F.explode(F.array_distinct(F.array("lo", "hi", "mid"))).alias("star"))
-    # Sizes that cannot link go before the pairs are counted.
+    stars = entries.select("key", "cls", "n", "pos").join(lists, "key")
+    pairs = stars.select("cls", "n", "pos", F.explode(F.array_distinct(F.array("lo", "hi", "mid"))).alias("star"))
+    # Sizes that cannot link go before the pairs are counted, and so do places that the first common hash of a link cannot have.
     suits = DENOMINATOR * F.least("n", F.col("star.n")) >= NUMERATOR * F.greatest("n", F.col("star.n"))
-    pairs = pairs.where(suits).select(F.col("cls").alias("a"), F.col("star.cls").alias("b")).where("a <> b")
+    pairs = pairs.where(suits & meets(F.col("n"), F.col("pos"), F.col("star.n"), F.col("star.pos"))).select(F.col("cls").alias("a"), F.col("star.cls").alias("b")).where("a <> b")
     pairs = pairs.groupBy(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).agg(F.count(F.lit(1)).alias("shared"))
     pairs = materialize(prune(pairs, points, "shared"), "ngram-stars")
     settle(spark)
@@ -497,8 +519,8 @@ def components(docs: DataFrame) -> DataFrame:
     drop(points)
 
     # Components are named by class hashes so far; each gets its smallest doc_id.
-    whole = sets.where("n > 0").groupBy("cls").agg(F.min("doc_id").alias("doc_id")).join(comps.select(F.col("node").alias("cls"), F.col("component").alias("comp")), "cls", "left")
-    named = whole.where("comp IS NOT NULL").groupBy("comp").agg(F.min("doc_id").alias("name"))
-    names = materialize(whole.join(named, "comp", "left").select("cls", F.coalesce("name", "doc_id").alias("name")), "ngram-names")
-    out = sets.select("doc_id", "n", F.when(F.col("n") > 0, F.col("cls")).alias("cls")).join(names, "cls", "left")
+    classes = whole.where("n > 0").groupBy("cls").agg(F.min("doc_id").alias("doc_id")).join(comps.select(F.col("node").alias("cls"), F.col("component").alias("comp")), "cls", "left")
+    named = classes.where("comp IS NOT NULL").groupBy("comp").agg(F.min("doc_id").alias("name"))
+    names = materialize(classes.join(named, "comp", "left").select("cls", F.coalesce("name", "doc_id").alias("name")), "ngram-names")
+    out = whole.select("doc_id", "n", F.when(F.col("n") > 0, F.col("cls")).alias("cls")).join(names, "cls", "left")
     return out.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("doc_id").isNotNull(), F.coalesce("name", "doc_id")).alias("component_id"))

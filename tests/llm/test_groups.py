@@ -198,3 +198,21 @@ def test_differencing_places_every_item():
     assert sorted(x for _, inside in parts for x in sharding._flat(inside)) == list(range(200))
     assert all(load == sum(items[x][0][0] for x in sharding._flat(inside)) for load, inside in parts)
     assert max(p[0] for p in parts) - min(p[0] for p in parts) <= 20
+
+
+def test_first_common_hash_stands_at_a_place_that_meets():
+    rng = np.random.default_rng(5)
+    linked = 0
+    for _ in range(3000):
+        n = int(rng.integers(1, 120))
+        a = set(rng.integers(0, 1 << 30, n).tolist())
+        b = {x for x in a if rng.random() > rng.random() * 0.3} | set(rng.integers(0, 1 << 30, int(rng.integers(0, max(2, n // 6)))).tolist())
+        both = a & b
+        if not both or 100 * len(both) < 75 * len(a | b):
+            continue
+        linked += 1
+        pos_a, pos_b = sorted(a).index(min(both)), sorted(b).index(min(both))
+        assert ngrams.meets(len(a), pos_a, len(b), pos_b)
+        low, pos = min((len(a), pos_a), (len(b), pos_b))
+        assert pos <= ngrams.first_of(low)
+    assert linked > 1000
