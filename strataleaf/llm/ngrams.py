@@ -14,8 +14,8 @@ A document's set holds the 64-bit hashes of its distinct 5-word shingles. Two do
    linear time. Verified links give provisional components.
    Candidate pairs are held to the bound of 4 before their sets are.
 4. R-tree: a list whose members are still in several components is searched for the rest. The hashes
-   of a set of n fall into at least n / 2 groups (a power of two, so that points fold onto one another), and
-   the class is the point of its counts by group. Points are packed by size and by their most telling
+   of a set of n fall into at least n / 2 groups (a power of two, so that points fold onto one another), four times
+   as many for the tree, and the class is the point of its counts by group. Points are packed by size and by their most telling
    coordinates into nodes of FAN, these into nodes of the next level, up to a root; a node keeps the
    greatest count of each group. The tree is searched with itself from the root down: the summed minima of two nodes
    or points bound the overlap, and pairs that cannot link are not opened, as are those already in one component.
@@ -37,6 +37,8 @@ from .common import bounds, connected_components, drop, ensure, lean, materializ
 
 WORDS, NUMERATOR, DENOMINATOR = 5, 75, 100
 GROUPS, FAN, BLOCK = 64, 8, 1024
+#: The tree's points have FINE times as many groups, as far as to WIDEST, which bounds the memory of a block of long sets.
+FINE, WIDEST = 4, 4096
 FULL = 255
 #: Hashes that a sample of 1/SAMPLE of the rows finds often, at most HINTS: they come last in the order.
 SAMPLE, HINTS, SALTS = 8, 1 << 18, 64
@@ -98,10 +100,15 @@ def groups_of(n: int) -> int:
     return max(GROUPS, 1 << max(0, n // 2 - 1).bit_length())
 
 
+def fine_of(n: int) -> int:
+    """Groups of a set of n hashes in the tree."""
+    return max(groups_of(n), min(FINE * groups_of(n), WIDEST))
+
+
 def counts_of(hashes):
     import numpy as np
 
-    groups = groups_of(len(hashes))
+    groups = fine_of(len(hashes))
     return np.minimum(np.bincount((hashes & np.uint64(groups - 1)).astype(np.int64), minlength=groups), FULL).astype(np.uint8)
 
 
@@ -132,6 +139,21 @@ def stacked(rows, width: int):
     return total.astype(np.uint8)
 
 
+def coarse_and_fine(classes: DataFrame) -> DataFrame:
+    """cls, doc_id, n, counts and fine: the points of the tree, and folded ones for the pairs of the stars."""
+
+    def run(batches):
+        import pyarrow as pa
+
+        for batch in slices_of(batches):
+            pairs = zip(unpacked(batch.column("counts").to_pylist()), batch.column("n").to_pylist(), strict=True)
+            folded = packed([stacked([x], groups_of(n))[0] for x, n in pairs])
+            columns = [batch.column("cls"), batch.column("doc_id"), batch.column("n"), pa.array(folded, pa.binary()), batch.column("counts")]
+            yield pa.RecordBatch.from_arrays(columns, names=["cls", "doc_id", "n", "counts", "fine"])
+
+    return classes.select("cls", "doc_id", "n", "counts").mapInArrow(lean(run), "cls long, doc_id long, n long, counts binary, fine binary")
+
+
 def bound(a, b):
     """Greatest overlap of two points (or boxes of them) by summed minima; a full count says nothing."""
     import numpy as np
@@ -424,7 +446,7 @@ def tree_pairs(comp, n, counts: list, own, cross: bool):
         if len(rows) > FAN * FAN:
             # Packed by size, and within like sizes by the coordinates that differ most.
             band = (np.log(n[rows]) * 8).astype(np.int64)
-            telling = np.argsort(-points.var(axis=0))[:8]
+            telling = np.argsort(-points[:: len(points) // (FAN * FAN)].var(axis=0))[:8]
             place = ((points[:, telling] > np.median(points[:, telling], axis=0)) << np.arange(len(telling))).sum(axis=1)
             order = np.lexsort((comp[rows], place, band))
             rows, points = rows[order], points[order]
@@ -446,7 +468,7 @@ def rest_pairs(entries: DataFrame, comps: DataFrame, points: DataFrame, tasks: i
     members = placed.join(lists, "key").where("cls <> least AND cls <> most").withColumn("own", F.pmod(F.xxhash64("cls"), F.col("blocks")).cast("int"))
     both = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda v: F.struct(F.least(v, F.col("own")).alias("x"), F.greatest(v, F.col("own")).alias("y")))
     dealt = members.select("key", "cls", "comp", "own", F.explode(both).alias("p")).select("key", F.col("p.x").alias("x"), F.col("p.y").alias("y"), "cls", "comp", "own")
-    dealt = dealt.join(points.select("cls", "n", "counts"), "cls")
+    dealt = dealt.join(points.select("cls", "n", F.col("fine").alias("counts")), "cls")
 
     def run(batches):
         import numpy as np
@@ -483,7 +505,8 @@ def components(docs: DataFrame) -> DataFrame:
 
     settle(spark)
     classes = sets.select("cls", "doc_id", "n", "counts").join(entries.select("cls").distinct(), "cls", "left_semi")
-    points = materialize(classes.groupBy("cls").agg(F.min("doc_id").alias("doc_id"), F.first("n").alias("n"), F.first("counts").alias("counts")), "ngram-points")
+    points = classes.groupBy("cls").agg(F.min("doc_id").alias("doc_id"), F.first("n").alias("n"), F.first("counts").alias("counts"))
+    points = materialize(coarse_and_fine(points), "ngram-points")
     # The prefixes and the counts of the others are large and not read again.
     whole = materialize(sets.select("doc_id", "n", "cls"), "ngram-ids")
     drop(sets)
