@@ -8,8 +8,8 @@
    hold the item) are searched a second time, with no weight below FLOOR of a new word's.
 3. A randomised SVD of the TF-IDF passages gives RANK latent directions: a random range finder with
    power iterations, whose products with the matrix are summed over the tasks that hold its rows.
-   The rows are the items, which weigh as much as all others together, and a sample of about PASSAGES
-   passages, drawn by a hash over all documents; only this fit is on a sample.
+   The rows are the items, which weigh as much as all others together, and every passage of WIDTH blocks
+   of every document; nothing is sampled.
 4. Every passage of every document, at the scale of each item's length, is compared with every item
    by cosine in the latent space, a block of documents against a block of items. The passage's
    length counts all its words, and cosines are scaled so that an item's own text has 1.
@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 
 from .common import ensure, lean, materialize, slices_of
 
-STEP, RANK, OVER, POWER, PASSAGES, ITEMS = 16, 64, 16, 2, 1 << 15, 4096
+STEP, WIDTH, RANK, OVER, POWER, ITEMS = 16, 4, 64, 16, 2, 4096
 STOP, FLOOR, KEPT = 0.01, 0.3, 0.6
 COSINE, LCS, LOOSE, ANSWER, LEAST, RUN = 0.28, 0.75, 0.55, 5, 8, 3
 _SPACE = bytes(b if b >= 128 or chr(b).isalnum() else 32 for b in range(256))
@@ -151,27 +151,6 @@ def weights_of(seen, blocks: int, floor: bool = False):
     return np.where(seen <= max(STOP * blocks, 3), idf, 0.0)
 
 
-def passages(coded_: DataFrame, blocks: int, most: int = PASSAGES, step: int = STEP, width: int = 4) -> DataFrame:
-    """ids of a hashed sample of about `most` passages of `width` blocks, from all documents."""
-    import numpy as np
-
-    share = min(1.0, most / max(1, blocks))
-
-    def run(batches):
-        import pyarrow as pa
-
-        for batch in slices(batches):
-            ids, at = joined(batch, step)
-            key = np.repeat(np.array([x if x is not None else -1 for x in batch.column("doc_id").to_pylist()], np.int64).view(np.uint64), np.diff(at))
-            x = (key * np.uint64(0x9E3779B97F4A7C15) + np.arange(len(key), dtype=np.uint64) - np.repeat(at[:-1], np.diff(at)).astype(np.uint64)) * np.uint64(0xD6E8FEB86659FD93)
-            x ^= x >> np.uint64(32)
-            ends = np.repeat(at[1:], np.diff(at))
-            out = [ids[k * step : min(k + width, ends[k]) * step].tobytes() for k in np.flatnonzero((x & np.uint64(0xFFFFFFFF)) < np.uint64(int(share * (1 << 32))))]
-            yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], names=["ids"])
-
-    return coded_.mapInArrow(run, "ids binary")
-
-
 def sparse(lists, idf):
     """TF-IDF rows (row, column, value, in that order) of length 1, of lists of ids."""
     import numpy as np
@@ -205,14 +184,81 @@ def gram_times(row, col, value, q):
     return out
 
 
-def latent(sample: DataFrame, items: list, idf, rank: int = RANK, over: int = OVER, power: int = POWER, seed: int = 7):
-    """The leading right singular vectors (vocabulary x rank) of the TF-IDF rows of sample and items."""
+def run_sums(table, at, first, most: int = 16):
+    """Sums of table[at] by runs that begin at first; reduceat takes several times as long for short runs."""
+    import numpy as np
+
+    size = np.diff(np.append(first, len(at)))
+    pieces = -(-size // most)
+    if pieces.max(initial=0) > 1:
+        begin = np.cumsum(pieces) - pieces
+        inner = np.repeat(first, pieces) + (np.arange(pieces.sum()) - np.repeat(begin, pieces)) * most
+        return run_sums(run_sums(table, at, inner, most), np.arange(len(inner)), begin, most)
+    order = np.argsort(-size, kind="stable")
+    first, size = first[order], size[order]
+    total = table[at[first]]
+    for k in range(1, int(size.max(initial=0))):
+        m = int(np.searchsorted(-size, -k))
+        total[:m] += table[at[first[:m] + k]]
+    out = np.empty_like(total)
+    out[order] = total
+    return out
+
+
+def passages_times(ids, at, idf, q, step: int = STEP, width: int = WIDTH, most: int = 1 << 12):
+    """gram_times() of all passages of `width` blocks of a batch's documents (ids and at of joined), one begun at every block.
+
+    A passage is the sum of its blocks, so each word is met once forth and once back, not once a passage. Starts
+    are taken `most` at a time, with the blocks that they reach; each document is followed by empty blocks.
+    """
+    import numpy as np
+
+    far, weight, out = width - 1, np.append(idf, 0.0), np.zeros(q.shape)
+    weighted = (q * idf[:, None]).astype(np.float32)
+    doc = np.repeat(np.arange(len(at) - 1), np.diff(at))
+    for lo in range(0, len(doc), most):
+        hi = min(lo + most + far, len(doc))
+        part = ids[lo * step : hi * step]
+        where = np.flatnonzero(weight[part] > 0)
+        if not len(where):
+            continue
+        place = np.arange(hi - lo) + far * (1 + doc[lo:hi] - doc[lo])
+        n = int(place[-1]) + 1 + far
+        words, blocks = part[where], place[where // step]
+        key = np.sort(words * np.int64(n) + blocks)
+        # Squared lengths: a word's cells in one passage count by themselves and in pairs, from the last's first passage to the first's last.
+        new = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
+        cell, tf = key[new], np.diff(np.append(new, len(key)))
+        col, block = cell // n, cell % n
+        mass = (tf * idf[col]) ** 2
+        change = np.bincount(block - far, mass, n + 1) - np.bincount(block + 1, mass, n + 1)
+        for k in range(1, width):
+            i = np.flatnonzero(cell[k:] - cell[:-k] < width)
+            mass = 2.0 * tf[i] * tf[i + k] * idf[col[i]] ** 2
+            change += np.bincount(block[i + k] - far, mass, n + 1) - np.bincount(block[i] + 1, mass, n + 1)
+        square = np.cumsum(change)[:n]
+        start = place[:most]
+        start = start[square[start] > 1e-9]
+        share = np.zeros((n, 1), np.float32)
+        share[start, 0] = 1 / square[start]
+        sums, y = np.zeros((n + far, q.shape[1]), np.float32), np.zeros((n + far, q.shape[1]), np.float32)
+        first = np.flatnonzero(np.append(True, blocks[1:] != blocks[:-1]))
+        sums[blocks[first]] = run_sums(weighted, words, first)
+        y[far:] = sum(sums[d : n + d] for d in range(width)) * share
+        back = sum(y[far - d : n + far - d] for d in range(width))
+        first = np.flatnonzero(np.append(True, key[1:] // n != key[:-1] // n))
+        out[key[first] // n] += run_sums(back, key % n, first)
+    return out * idf[:, None]
+
+
+def latent(coded_: DataFrame, items: list, idf, blocks: int, rank: int = RANK, over: int = OVER, power: int = POWER, seed: int = 7):
+    """The leading right singular vectors (vocabulary x rank) of the TF-IDF rows of all passages and the items."""
     import numpy as np
 
-    spark, size = sample.sparkSession, len(idf)
+    spark, size = coded_.sparkSession, len(idf)
     wide = min(size, rank + over)
     row, column, value = sparse(items, idf)
-    own = row, column, value * np.sqrt(PASSAGES / max(1, len(items)))
+    own = row, column, value * np.sqrt(blocks / max(1, len(items)))
 
     def times(q):
         sent = spark.sparkContext.broadcast((idf, q))
@@ -221,15 +267,15 @@ def latent(sample: DataFrame, items: list, idf, rank: int = RANK, over: int = OV
             import pyarrow as pa
 
             weights, q = sent.value
-            total = np.zeros_like(q)
-            for batch in batches:
-                lists = [np.frombuffer(x, np.int32) for x in batch.column("ids").to_pylist()]
-                for k in range(0, len(lists), 2048):
-                    total += gram_times(*sparse(lists[k : k + 2048], weights), q)
-            yield pa.RecordBatch.from_arrays([pa.array(np.arange(size)), pa.array(total.tolist(), pa.list_(pa.float64()))], names=["id", "x"])
+            total = np.zeros(q.shape)
+            for batch in slices(batches):
+                total += passages_times(*joined(batch, STEP), weights, q)
+            there = np.flatnonzero(total.any(axis=1))
+            ends = pa.array(np.arange(len(there) + 1, dtype=np.int32) * q.shape[1])
+            yield pa.RecordBatch.from_arrays([pa.array(there), pa.ListArray.from_arrays(ends, pa.array(total[there].ravel()))], names=["id", "x"])
 
         # Each task sends one vocabulary of sums; they meet by word, then the driver has the total.
-        parts = sample.mapInArrow(run, "id long, x array<double>")
+        parts = coded_.mapInArrow(run, "id long, x array<double>")
         sums = parts.groupBy("id").agg(*[F.sum(F.col("x")[k]).alias(f"s{k}") for k in range(q.shape[1])])
         out = gram_times(*own, q)
         for r in sums.collect():
@@ -305,11 +351,11 @@ def search(coded_: DataFrame, items: list, item_ids: list[int], answers: list, v
                 telling = squares > 0
                 telling[-1] = False
                 where = np.flatnonzero(telling[ids])
-                starts = np.searchsorted(where, np.arange(n) * step)
                 sums = np.zeros((n, weighted.shape[1]), np.float64)
                 if len(where):
-                    sums[:] = np.add.reduceat(weighted[ids[where]], np.minimum(starts, len(where) - 1), axis=0)
-                    sums[np.diff(np.append(starts, len(where))) == 0] = 0
+                    held_by = where // step
+                    first = np.flatnonzero(np.append(True, held_by[1:] != held_by[:-1]))
+                    sums[held_by[first]] = run_sums(weighted, ids[where], first)
                 total = np.vstack([np.zeros((1, sums.shape[1])), np.cumsum(sums, axis=0)])
                 mass = np.append(0, np.cumsum(squares[ids].reshape(n, step).sum(axis=1)))
                 for blocks, which in scales.items():
@@ -419,14 +465,12 @@ def find_block(docs: DataFrame, some: list, **limits: float) -> DataFrame:
     seen, blocks = frequencies(table, len(vocabulary))
     ids = [ids_of(text) for _, text, _ in some]
     told = [ids_of(answer or text[-ANSWER:]) for _, text, answer in some]
-    tasks = min(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), 16)
-    sample = materialize(passages(table, blocks).repartition(tasks), "clean-sample")
     plain = weights_of(seen, blocks)
     weak = [(plain[x] > 0).mean() < KEPT for x in ids]
     views = []
     for floor, which in ((False, list(range(len(ids)))), (True, [k for k, x in enumerate(weak) if x])):
         if which:
             idf = weights_of(seen, blocks, floor)
-            views.append((idf, latent(sample, [ids[k] for k in which], idf), which))
+            views.append((idf, latent(table, [ids[k] for k in which], idf, blocks), which))
     hits = search(table, ids, [x[0] for x in some], told, views, float(np.log(blocks + 1)), **limits)
     return hits if brief is None else hits.unionByName(brief)

@@ -5,6 +5,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 from tokenizers import Tokenizer
 
 from strataleaf.llm import decontaminate, language, tokenbin
@@ -148,6 +149,36 @@ def test_count_of_an_items_words_bounds_the_lcs():
     assert got.tolist() == [int(np.isin(ids[a:b], items[k]).sum()) for k, a, b in zip(which, first, last, strict=True)]
 
 
+def test_fit_sums_over_every_passage():
+    rng = np.random.default_rng(5)
+    sizes = [0, 1, 16, 17, 700, 0, 0, 16 * 9000 + 3, 2]
+    texts = [rng.integers(-30, 30, n).clip(-1).astype(np.int32) for n in sizes]
+    texts[4][:] = 5
+    idf, q = rng.random(30) + 0.1, rng.standard_normal((30, 5))
+    idf[3] = 0
+    batch = pa.RecordBatch.from_arrays([pa.array([x.tobytes() for x in texts], pa.binary())], names=["ids"])
+    passages = [x[k : k + 64] for x in texts for k in range(0, len(x), 16)]
+    got = decontaminate.passages_times(*decontaminate.joined(batch, 16), idf, q)
+    assert np.allclose(got, decontaminate.gram_times(*decontaminate.sparse(passages, idf), q), atol=1e-2)
+
+
+def test_fit_follows_passages_beyond_any_sample(spark):
+    rng = np.random.default_rng(6)
+    texts = [rng.integers(0, 60, 16 * 400).astype(np.int32) for _ in range(100)]  # 40,000 passages
+    table = spark.createDataFrame([(k, bytearray(x.tobytes())) for k, x in enumerate(texts)], "doc_id long, ids binary").repartition(4)
+    idf, items = rng.random(60) + 0.5, [rng.integers(0, 60, 20).astype(np.int32) for _ in range(3)]
+    row, col, value = decontaminate.sparse([x[k : k + 64] for x in texts for k in range(0, len(x), 16)], idf)
+    rows = np.zeros((40000, 60))
+    rows[row, col] = value
+    own = np.zeros((3, 60))
+    row, col, value = decontaminate.sparse(items, idf)
+    own[row, col] = value
+    whole = rows.T @ rows + own.T @ own * (40000 / 3)
+    got = decontaminate.latent(table, items, idf, 40000, rank=60, over=0)
+    want = np.linalg.eigh(whole)
+    assert np.allclose((got * (got * (whole @ got)).sum(axis=0)) @ got.T, want[1] @ np.diag(want[0]) @ want[1].T, atol=0.5)
+
+
 def test_lcs_is_the_table():
     rng = np.random.default_rng(2)
     for _ in range(200):
