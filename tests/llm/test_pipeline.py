@@ -47,3 +47,21 @@ def test_benchmark_and_language_stages_decide_by_row(spark, tmp_path):
     assert kept == collections.Counter({r: n for r, n in shown(df).items() if c not in (r[df.columns.index("text")] or "")})
     told = corpus_pipeline.keep_known_language(spark, df, bench)
     assert told.columns == df.columns and all(r.text for r in told.collect())
+
+
+def test_benchmark_stage_fits_on_all_words(spark, tmp_path, monkeypatch):
+    import random
+
+    r, fitted, latent = random.Random(8), [], corpus_pipeline.decontaminate.latent
+
+    def spy(table, *rest, **more):
+        fitted.append(table.selectExpr("sum(octet_length(ids)) DIV 4 AS n").first().n)
+        return latent(table, *rest, **more)
+
+    monkeypatch.setattr(corpus_pipeline.decontaminate, "latent", spy)
+    some = lambda n: " ".join(f"v{r.randrange(400)}" for _ in range(n))
+    bench = str(tmp_path)
+    spark.createDataFrame([(k, some(20)) for k in range(3)], "item_id long, text string").write.parquet(f"{bench}/benchmark.parquet")
+    df = docs(spark, [(k, some(12000), "en", "s") for k in range(50)])  # 37,500 passages
+    assert corpus_pipeline.keep_clear_of_benchmark(spark, df, bench).count() == 50
+    assert set(fitted) == {50 * 12000}
