@@ -33,11 +33,15 @@ from .common import drop, ensure, lean, materialize, new_path, slices_of
 
 END, BLOCK, LANES, SCALE, STEP = 2, 1 << 18, 1024, 18, 128
 MAGIC = b"SRA1"
-#: Pieces whose ids a worker remembers.
-REMEMBER = 1 << 17
+#: Pieces whose ids a worker remembers, besides as many that it met before them.
+REMEMBER = 1 << 16
 #: A lower-case word with marks after it, which the tokenizer takes apart; apostrophes may bind.
-PLAIN = re.compile(r"[a-z]+")
 MARKED = re.compile(r"([a-z]+)([!-&(-/:-@\[-`{-~]+)")
+#: The same with the letters of Latin-1, each of which has one lower-case form and is composed already.
+LATIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:-@\[-`{-~]*)")
+#: The character that stands for each byte in a byte-level model.
+_SHOWN = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or b >= 174]
+BYTES = {b: b for b in _SHOWN} | {b: 256 + k for k, b in enumerate(b for b in range(256) if b not in _SHOWN)}
 
 
 class Words(dict):
@@ -50,12 +54,13 @@ class Words(dict):
         from tokenizers import Tokenizer
 
         super().__init__()
+        self.old: dict[str, bytes] = {}
         self.tokenizer, self.kind = Tokenizer.from_file(file), kind
         self.model = None
         steps = json.loads(self.tokenizer.to_str())
         kinds = [[x["type"] for x in ((steps[name] or {}).get(own) or [])] for name, own in (("normalizer", "normalizers"), ("pre_tokenizer", "pretokenizers"))]
         if kinds == [["NFC", "Replace", "Lowercase"], ["Split", "ByteLevel"]] and not steps["pre_tokenizer"]["pretokenizers"][1]["add_prefix_space"]:
-            # These steps leave a lower-case ASCII word as it is, so such words go to the model at once.
+            # These steps leave a lower-case word of Latin-1 letters as it is, so such words go to the model at once.
             self.model = self.tokenizer.model
         self.vocabulary = self.tokenizer.get_vocab_size(with_added_tokens=True)
 
@@ -72,26 +77,43 @@ class Words(dict):
             return text.lower().replace("\n", " ").split(" ")
         return [x.lower() if x.isascii() else x for x in text.replace("\n", " ").split(" ")]
 
+    def missing(self, pieces) -> set[str]:
+        """Those of the pieces that are not remembered; ids met before are taken over."""
+        out = set()
+        for piece in pieces:
+            if piece not in self:
+                ids = self.old.get(piece)
+                if ids is None:
+                    out.add(piece)
+                else:
+                    self[piece] = ids
+        return out
+
     def learn(self, lists: list[list[str]]) -> None:
         import numpy as np
 
         if len(self) > REMEMBER:
+            self.old = dict(self)
             self.clear()
-        new = {word for word in set().union(*lists) if word not in self}
-        marked = [(word, m[1], m[2]) for word in new if (m := MARKED.fullmatch(word))]
-        new.difference_update(word for word, _, _ in marked)
-        new.update(part for _, *parts in marked for part in parts if part not in self)
+        new = self.missing(set().union(*lists))
+        form = MARKED if self.model is None else LATIN
+        split = [(piece, m[1].lower(), m[2]) for piece in new if (m := form.fullmatch(piece))]
+        new.difference_update(piece for piece, _, _ in split)
+        cores = self.missing({core for _, core, _ in split})
+        new |= self.missing({marks for _, _, marks in split if marks})
         if self.model is not None:
-            form, tokenize = ("H" if self.kind == "<u2" else "I"), self.model.tokenize
-            plain = [word for word in new if PLAIN.fullmatch(word)]
-            for word in plain:
-                self[word] = array(form, [x.id for x in tokenize(word)]).tobytes()
-            new.difference_update(plain)
+            kind, tokenize = ("H" if self.kind == "<u2" else "I"), self.model.tokenize
+            for word in cores:
+                shown = word if word.isascii() else word.encode().decode("latin-1").translate(BYTES)
+                self[word] = array(kind, [x.id for x in tokenize(shown)]).tobytes()
+        else:
+            new |= cores
         new = list(new)
         for word, x in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False), strict=True):
             self[word] = np.array(x.ids, self.kind).tobytes()
-        for word, core, marks in marked:
-            self[word] = self[core] + self[marks]
+        for piece, core, marks in split:
+            if marks or piece != core:
+                self[piece] = self[core] + (self[marks] if marks else b"")
 
 
 def words_of(file: str) -> Words:
