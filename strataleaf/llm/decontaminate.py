@@ -7,7 +7,8 @@
    Items that keep less than KEPT of their words so (common words, or a large group of copies that
    hold the item) are searched a second time, with no weight below FLOOR of a new word's.
 3. A randomised SVD of the TF-IDF passages gives RANK latent directions: a random range finder with
-   power iterations, whose products with the matrix are summed over the tasks that hold its rows.
+   POWER iterations, whose products with the matrix are summed over the tasks that hold its rows. The
+   directions are taken from the starts and products of all iterations, so the last needs no product of its own.
    The rows are the items, which weigh as much as all others together, and every passage of WIDTH blocks
    of every document; nothing is sampled.
 4. Every passage of every document, at the scale of each item's length, is compared with every item
@@ -65,6 +66,39 @@ def masks_of(ids) -> dict[int, int]:
     return out
 
 
+def lcs_lengths(table: tuple, bits, which, ids, first, last):
+    """lcs_length() of many items (of up to 64 words, in table) with the regions from first to last, a word of each at a time."""
+    import numpy as np
+
+    keys, masks, size = table
+    out = np.zeros(len(which), np.int64)
+    width = np.arange(int((last - first).max(initial=0)))
+    for k in range(0, len(which), 4096):
+        item = which[k : k + 4096]
+        at = first[k : k + 4096, None] + width
+        words = ids[np.minimum(at, len(ids) - 1)]
+        row, column = np.nonzero((bits[item[:, None], words >> 3] >> (words & 7).astype(np.uint8)) & 1 & (at < last[k : k + 4096, None]))
+        places = masks[np.searchsorted(keys, item[row] * np.int64(size) + words[row, column])]
+        many = np.bincount(row, minlength=len(item))
+        order = np.argsort(-many, kind="stable")
+        start = (np.cumsum(many) - many)[order]
+        state = np.full(len(item), ~np.uint64(0))
+        for t, m in enumerate(np.cumsum(np.bincount(many)[::-1])[-2::-1].tolist()):  # so many have a word t
+            old = state[:m]
+            new = old & places[start[:m] + t]
+            state[:m] = (old + new) | (old - new)
+        out[k + order] = np.bitwise_count(~state)
+    return out
+
+
+def table_of(items: list, size: int) -> tuple:
+    """What lcs_lengths() looks up: item and word as one number, in order, and the word's places in the item."""
+    import numpy as np
+
+    found = sorted((k * size + word, place) for k, ids in enumerate(items) if len(ids) <= 64 for word, place in masks_of(ids).items())
+    return np.array([x for x, _ in found], np.int64), np.array([x for _, x in found], np.uint64), size
+
+
 def coded(docs: DataFrame, vocabulary: dict[bytes, int]) -> DataFrame:
     """doc_id, ids: the vocabulary's places of a text's words as int32, -1 for others."""
     sent = docs.sparkSession.sparkContext.broadcast(vocabulary)
@@ -125,9 +159,10 @@ def frequencies(coded_: DataFrame, size: int, step: int = STEP):
         for batch in slices(batches):
             ids, at = joined(batch, step)
             n += int(at[-1])
-            where = np.flatnonzero(ids >= 0)
-            seen = np.unique(where // step * np.int64(size) + ids[where])
-            total += np.bincount(seen % size, minlength=size)
+            rows = np.sort(ids.reshape(-1, step), axis=1)
+            first = rows >= 0
+            first[:, 1:] &= rows[:, 1:] != rows[:, :-1]
+            total += np.bincount(rows[first], minlength=size)
         there = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(np.append(there, -1).astype(np.int64)), pa.array(np.append(total[there], n))], names=["id", "n"])
 
@@ -205,6 +240,21 @@ def run_sums(table, at, first, most: int = 16):
     return out
 
 
+def windows(x, width: int):
+    """Sums of every `width` rows that follow one another, by doubling."""
+    out, have, total, done = x, 1, None, 0
+    n = len(x) - width + 1
+    while True:
+        if width & have:
+            part = out[done : done + n]
+            total = part if total is None else total + part
+            done += have
+        if 2 * have > width:
+            return total
+        out = out[:-have] + out[have:]
+        have *= 2
+
+
 def passages_times(ids, at, idf, q, step: int = STEP, width: int = WIDTH, most: int = 1 << 12):
     """gram_times() of all passages of `width` blocks of a batch's documents (ids and at of joined), one begun at every block.
 
@@ -244,8 +294,8 @@ def passages_times(ids, at, idf, q, step: int = STEP, width: int = WIDTH, most:
         sums, y = np.zeros((n + far, q.shape[1]), np.float32), np.zeros((n + far, q.shape[1]), np.float32)
         first = np.flatnonzero(np.append(True, blocks[1:] != blocks[:-1]))
         sums[blocks[first]] = run_sums(weighted, words, first)
-        y[far:] = sum(sums[d : n + d] for d in range(width)) * share
-        back = sum(y[far - d : n + far - d] for d in range(width))
+        np.multiply(windows(sums, width), share, out=y[far:])
+        back = windows(y, width)
         first = np.flatnonzero(np.append(True, key[1:] // n != key[:-1] // n))
         out[key[first] // n] += run_sums(back, key % n, first)
     return out * idf[:, None]
@@ -283,12 +333,25 @@ def latent(coded_: DataFrame, items: list, idf, blocks: int, rank: int = RANK, o
         sent.unpersist()
         return out
 
-    q = np.linalg.qr(np.random.default_rng(seed).standard_normal((size, wide)))[0]
+    q, starts, products = np.linalg.qr(np.random.default_rng(seed).standard_normal((size, wide)))[0], [], []
     for _ in range(power):
-        q = np.linalg.qr(times(q))[0]
-    small = q.T @ times(q)
-    values, vectors = np.linalg.eigh((small + small.T) / 2)
-    return q @ vectors[:, np.argsort(-values)[:rank]]
+        starts.append(q)
+        products.append(times(q))
+        q = np.linalg.qr(products[-1])[0]
+    return leading(np.hstack(starts), np.hstack(products), rank)
+
+
+def leading(starts, products, rank: int):
+    """The leading directions of a Gram matrix by its products with all starts (block Krylov), by Nystrom's formula."""
+    import numpy as np
+
+    basis, length, turned = np.linalg.svd(starts, full_matrices=False)
+    keep = length > 0.01  # starts may lie in one another's span
+    products = products @ (turned[keep].T / length[keep])
+    core = basis[:, keep].T @ products
+    values, vectors = np.linalg.eigh((core + core.T) / 2)
+    keep = values > values.max(initial=0) * 1e-6
+    return np.linalg.svd(products @ (vectors[:, keep] / np.sqrt(values[keep])), full_matrices=False)[0][:, :rank]
 
 
 def holders(items: list, size: int):
@@ -331,13 +394,14 @@ def search(coded_: DataFrame, items: list, item_ids: list[int], answers: list, v
         own *= (whole / np.maximum((own**2).sum(axis=1), 1e-12))[:, None]
         squares = np.append(idf**2, unseen**2)  # place -1: a word outside the vocabulary
         seen_as.append((weighted, squares, own.astype(np.float32), scales))
-    bits = holders(items, len(views[0][0]))
-    sent = coded_.sparkSession.sparkContext.broadcast((seen_as, bits, [masks_of(x) for x in items], [masks_of(x) for x in answers], [len(x) for x in items], [len(x) for x in answers], item_ids))
+    size = len(views[0][0])
+    bits = holders(items, size)
+    sent = coded_.sparkSession.sparkContext.broadcast((seen_as, bits, table_of(items, size), [masks_of(x) for x in items], [masks_of(x) for x in answers], [len(x) for x in items], [len(x) for x in answers], item_ids))
 
     def run(batches):
         import pyarrow as pa
 
-        seen_as, bits, masks, answers, lengths, answer_lengths, item_ids = sent.value
+        seen_as, bits, table, masks, answers, lengths, answer_lengths, item_ids = sent.value
         sizes = np.array(lengths)
         for batch in slices(batches):
             ids, at = joined(batch, step)
@@ -346,43 +410,53 @@ def search(coded_: DataFrame, items: list, item_ids: list[int], answers: list, v
                 continue
             doc = np.repeat(np.arange(batch.num_rows), np.diff(at))
             ends = at[doc + 1]
+            left = ends - np.arange(n)
             best: dict[tuple[int, int], tuple] = {}
             for weighted, squares, own, scales in seen_as:
                 telling = squares > 0
                 telling[-1] = False
                 where = np.flatnonzero(telling[ids])
-                sums = np.zeros((n, weighted.shape[1]), np.float64)
+                passage = np.zeros((n, weighted.shape[1]), np.float32)
                 if len(where):
                     held_by = where // step
                     first = np.flatnonzero(np.append(True, held_by[1:] != held_by[:-1]))
-                    sums[held_by[first]] = run_sums(weighted, ids[where], first)
-                total = np.vstack([np.zeros((1, sums.shape[1])), np.cumsum(sums, axis=0)])
-                mass = np.append(0, np.cumsum(squares[ids].reshape(n, step).sum(axis=1)))
-                for blocks, which in scales.items():
+                    passage[held_by[first]] = run_sums(weighted, ids[where], first)
+                sums, have = passage.copy(), 1
+                mass = np.append(0, np.cumsum(squares[ids].reshape(n, step) @ np.ones(step)))
+                for blocks in sorted(scales):
+                    which = np.array(scales[blocks])
+                    for d in range(have, min(blocks, n)):  # one block more, but where the document has no more
+                        over = np.flatnonzero(left[: n - d] <= d)
+                        kept = passage[over]
+                        passage[: n - d] += sums[d:]
+                        passage[over] = kept
+                    have = max(have, blocks)
                     end = np.minimum(np.arange(n) + blocks, ends)
-                    passage = total[end] - total[:n]
-                    passage = (passage / np.sqrt(np.maximum(mass[end] - mass[:n], 1e-9))[:, None]).astype(np.float32)
-                    side = own[which]
-                    for lo in range(0, n, 8192):
-                        close = passage[lo : lo + 8192] @ side.T
-                        i, j = np.nonzero(close >= cosine)
-                        chosen, block = np.array(which)[j], lo + i
-                        first, last = np.maximum(block - 1, at[doc[block]]) * step, np.minimum(end[block] + 1, ends[block]) * step
-                        enough = held(bits, chosen, ids, first, last) >= loose * sizes[chosen]
-                        for i, item, block, first, last, j in zip(*(x[enough].tolist() for x in (i, chosen, block, first, last, j)), strict=True):
-                            region = ids[first:last]
-                            region = region[region >= 0].tolist()
-                            if len(region) < loose * lengths[item]:
-                                continue
-                            share = lcs_length(masks[item], region) / lengths[item]
-                            if share < loose:
-                                continue
-                            told = lcs_length(answers[item], region) >= 0.8 * answer_lengths[item]
-                            if share >= strict or told:
-                                row = (share, float(close[i, j]), told, int(first - at[doc[block]] * step))
-                                key = (int(doc[block]), item)
-                                if key not in best or row[:2] > best[key][:2]:
-                                    best[key] = row
+                    length = np.sqrt(np.maximum(mass[end] - mass[:n], 1e-9)).astype(np.float32)
+                    bar, side = (np.float32(cosine) * length)[:, None], own[which]
+                    found = []
+                    for lo in range(0, n, 1024):
+                        close = passage[lo : lo + 1024] @ side.T
+                        at_ = np.flatnonzero(close >= bar[lo : lo + 1024])
+                        found.append((lo + at_ // len(which), which[at_ % len(which)], close.ravel()[at_]))
+                    block, chosen, close = (np.concatenate(x) for x in zip(*found, strict=True))
+                    close = close / length[block]
+                    first, last = np.maximum(block - 1, at[doc[block]]) * step, np.minimum(end[block] + 1, ends[block]) * step
+                    enough = held(bits, chosen, ids, first, last) >= loose * sizes[chosen]
+                    block, chosen, close, first, last = (x[enough] for x in (block, chosen, close, first, last))
+                    common = np.zeros(len(block), np.int64)
+                    small = sizes[chosen] <= 64
+                    common[small] = lcs_lengths(table, bits, chosen[small], ids, first[small], last[small])
+                    for k in np.flatnonzero(~small).tolist():
+                        common[k] = lcs_length(masks[chosen[k]], ids[first[k] : last[k]].tolist())
+                    some = common / sizes[chosen] >= loose
+                    rows = zip(*(x[some].tolist() for x in (doc[block], chosen, close, common, first, last, at[doc[block]])), strict=True)
+                    for d, item, cosine_, common, first, last, begin in rows:
+                        share, told = common / lengths[item], lcs_length(answers[item], ids[first:last].tolist()) >= 0.8 * answer_lengths[item]
+                        if share >= strict or told:
+                            row = (share, cosine_, told, first - begin * step)
+                            if (d, item) not in best or row[:2] > best[d, item][:2]:
+                                best[d, item] = row
             if best:
                 docs = batch.column("doc_id").to_pylist()
                 rows = [(docs[d], item_ids[k], position, close, share, told) for (d, k), (share, close, told, position) in best.items()]

@@ -206,6 +206,56 @@ def test_fit_follows_passages_beyond_any_sample(spark):
     assert np.allclose((got * (got * (whole @ got)).sum(axis=0)) @ got.T, want[1] @ np.diag(want[0]) @ want[1].T, atol=0.5)
 
 
+def test_fit_reads_all_once_a_power_and_keeps_no_less(spark):
+    class Counted:
+        def __init__(self, table):
+            self.table, self.sparkSession, self.reads = table, table.sparkSession, 0
+
+        def mapInArrow(self, *more):
+            self.reads += 1
+            return self.table.mapInArrow(*more)
+
+    rng = np.random.default_rng(12)
+    chance = 1 / np.arange(3, 303)
+    texts = [rng.choice(300, 640, p=chance / chance.sum()).astype(np.int32) for _ in range(60)]
+    table = Counted(spark.createDataFrame([(k, bytearray(x.tobytes())) for k, x in enumerate(texts)], "doc_id long, ids binary").repartition(4))
+    idf, items = rng.random(300) + 0.5, [rng.integers(0, 300, 20).astype(np.int32) for _ in range(9)]
+    got = decontaminate.latent(table, items, idf, 2400, rank=10, over=6)
+    assert table.reads == decontaminate.POWER and got.shape == (300, 10) and np.allclose(got.T @ got, np.eye(10))
+    whole = np.zeros((300, 300))
+    for lists, weight in (([x[k : k + 64] for x in texts for k in range(0, len(x), 16)], 1), (items, 2400 / 9)):
+        rows = np.zeros((len(lists), 300))
+        row, col, value = decontaminate.sparse(lists, idf)
+        rows[row, col] = value
+        whole += rows.T @ rows * weight
+    q = np.linalg.qr(np.random.default_rng(7).standard_normal((300, 16)))[0]
+    for _ in range(decontaminate.POWER):
+        q = np.linalg.qr(whole @ q)[0]
+    assert np.trace(got.T @ whole @ got) >= np.linalg.eigvalsh(q.T @ whole @ q)[-10:].sum()  # what one more read gave
+
+
+def test_lcs_of_many_is_the_lcs_of_each():
+    rng = np.random.default_rng(13)
+    items = [rng.integers(0, 40, n).astype(np.int32) for n in (8, 20, 63, 64, 65, 200)]
+    ids = rng.integers(-1, 40, 6000).astype(np.int32)
+    which = rng.integers(0, 4, 5000)
+    first = rng.integers(0, 5900, 5000)
+    last = first + rng.integers(0, 100, 5000)
+    got = decontaminate.lcs_lengths(decontaminate.table_of(items, 40), decontaminate.holders(items, 40), which, ids, first, last)
+    assert got.tolist() == [decontaminate.lcs_length(decontaminate.masks_of(items[k]), ids[a:b].tolist()) for k, a, b in zip(which, first, last, strict=True)]
+    assert got.max() > 20
+
+
+def test_items_of_more_words_than_a_machine_word_are_found(spark):
+    rng = np.random.default_rng(14)
+    some = lambda n: " ".join(f"w{k}" for k in rng.integers(0, 3000, n))
+    items = {1: some(64), 2: some(65), 3: some(150), 4: some(30)}
+    rows = [(10 * k, f"{some(200)} {text} {some(90)}", "en", "s") for k, text in items.items()] + [(k, some(300), "en", "s") for k in range(100, 130)]
+    bench = spark.createDataFrame(list(items.items()), "item_id long, text string")
+    got = {(r.doc_id, r.item_id, r.lcs) for r in decontaminate.find(docs(spark, rows), bench).collect()}
+    assert got == {(10 * k, k, 1.0) for k in items}
+
+
 def test_lcs_is_the_table():
     rng = np.random.default_rng(2)
     for _ in range(200):
