@@ -8,7 +8,8 @@
    hold the item) are searched a second time, with no weight below FLOOR of a new word's.
 3. A randomised SVD of the TF-IDF passages gives RANK latent directions: a random range finder with
    POWER iterations, whose products with the matrix are summed over the tasks that hold its rows. The
-   directions are taken from the starts and products of all iterations, so the last needs no product of its own.
+   directions are taken from the starts and products of all iterations, so the last needs no product of its own;
+   both kinds of weights are fitted in the same reads.
    The rows are the items, which weigh as much as all others together, and every passage of WIDTH blocks
    of every document; nothing is sampled.
 4. Every passage of every document, at the scale of each item's length, is compared with every item
@@ -66,20 +67,21 @@ def masks_of(ids) -> dict[int, int]:
     return out
 
 
-def lcs_lengths(table: tuple, bits, which, ids, first, last):
-    """lcs_length() of many items (of up to 64 words, in table) with the regions from first to last, a word of each at a time."""
+def lcs_lengths(table: tuple, bits, which, ids, first, last, least=None):
+    """lcs_length() of many items (of up to 64 words, in table) with the regions from first to last, a word of each at a time.
+
+    Regions with fewer than `least` words of their item, which bounds the length, have 0.
+    """
     import numpy as np
 
     keys, masks, size = table
     out = np.zeros(len(which), np.int64)
-    width = np.arange(int((last - first).max(initial=0)))
-    for k in range(0, len(which), 4096):
-        item = which[k : k + 4096]
-        at = first[k : k + 4096, None] + width
-        words = ids[np.minimum(at, len(ids) - 1)]
-        row, column = np.nonzero((bits[item[:, None], words >> 3] >> (words & 7).astype(np.uint8)) & 1 & (at < last[k : k + 4096, None]))
-        places = masks[np.searchsorted(keys, item[row] * np.int64(size) + words[row, column])]
-        many = np.bincount(row, minlength=len(item))
+    for rows, words, there in marked(bits, which, ids, first, last):
+        many = there.sum(axis=1)
+        some = np.arange(len(many)) if least is None else np.flatnonzero(many >= least[rows])
+        item, many = which[rows][some], many[some]
+        row, column = np.nonzero(there[some])
+        places = masks[np.searchsorted(keys, item[row] * np.int64(size) + words[some[row], column])]
         order = np.argsort(-many, kind="stable")
         start = (np.cumsum(many) - many)[order]
         state = np.full(len(item), ~np.uint64(0))
@@ -87,7 +89,7 @@ def lcs_lengths(table: tuple, bits, which, ids, first, last):
             old = state[:m]
             new = old & places[start[:m] + t]
             state[:m] = (old + new) | (old - new)
-        out[k + order] = np.bitwise_count(~state)
+        out[rows][some[order]] = np.bitwise_count(~state)
     return out
 
 
@@ -301,44 +303,53 @@ def passages_times(ids, at, idf, q, step: int = STEP, width: int = WIDTH, most:
     return out * idf[:, None]
 
 
-def latent(coded_: DataFrame, items: list, idf, blocks: int, rank: int = RANK, over: int = OVER, power: int = POWER, seed: int = 7):
-    """The leading right singular vectors (vocabulary x rank) of the TF-IDF rows of all passages and the items."""
+def latent(coded_: DataFrame, items: list, idf, blocks: int, beside: list | None = None, rank: int = RANK, over: int = OVER, power: int = POWER, seed: int = 7):
+    """The leading right singular vectors (vocabulary x rank) of the TF-IDF rows of all passages and the items.
+
+    With beside, more pairs of items and weights that are fitted in the same reads, a list of all of them.
+    """
     import numpy as np
 
     spark, size = coded_.sparkSession, len(idf)
     wide = min(size, rank + over)
-    row, column, value = sparse(items, idf)
-    own = row, column, value * np.sqrt(blocks / max(1, len(items)))
+    views = []
+    for some, weights in [(items, idf), *(beside or [])]:
+        row, column, value = sparse(some, weights)
+        views.append((weights, (row, column, value * np.sqrt(blocks / max(1, len(some))))))
 
-    def times(q):
-        sent = spark.sparkContext.broadcast((idf, q))
+    def times(qs):
+        sent = spark.sparkContext.broadcast([(weights, q) for (weights, _), q in zip(views, qs, strict=True)])
 
         def run(batches):
             import pyarrow as pa
 
-            weights, q = sent.value
-            total = np.zeros(q.shape)
+            known = sent.value
+            total = np.zeros((len(known), size, wide))
             for batch in slices(batches):
-                total += passages_times(*joined(batch, STEP), weights, q)
+                ids, at = joined(batch, STEP)
+                for k, (weights, q) in enumerate(known):
+                    total[k] += passages_times(ids, at, weights, q)
+            total = total.reshape(-1, wide)
             there = np.flatnonzero(total.any(axis=1))
-            ends = pa.array(np.arange(len(there) + 1, dtype=np.int32) * q.shape[1])
+            ends = pa.array(np.arange(len(there) + 1, dtype=np.int32) * wide)
             yield pa.RecordBatch.from_arrays([pa.array(there), pa.ListArray.from_arrays(ends, pa.array(total[there].ravel()))], names=["id", "x"])
 
-        # Each task sends one vocabulary of sums; they meet by word, then the driver has the total.
+        # Each task sends one vocabulary of sums a view; they meet by word, then the driver has the total.
         parts = coded_.mapInArrow(run, "id long, x array<double>")
-        sums = parts.groupBy("id").agg(*[F.sum(F.col("x")[k]).alias(f"s{k}") for k in range(q.shape[1])])
-        out = gram_times(*own, q)
+        sums = parts.groupBy("id").agg(*[F.sum(F.col("x")[k]).alias(f"s{k}") for k in range(wide)])
+        out = np.stack([gram_times(*own, q) for (_, own), q in zip(views, qs, strict=True)])
         for r in sums.collect():
-            out[r[0]] += np.array(r[1:])
+            out[divmod(r[0], size)] += np.array(r[1:])
         sent.unpersist()
         return out
 
-    q, starts, products = np.linalg.qr(np.random.default_rng(seed).standard_normal((size, wide)))[0], [], []
+    q = np.linalg.qr(np.random.default_rng(seed).standard_normal((size, wide)))[0]
+    starts, products = [np.stack([q] * len(views))], []
     for _ in range(power):
-        starts.append(q)
-        products.append(times(q))
-        q = np.linalg.qr(products[-1])[0]
-    return leading(np.hstack(starts), np.hstack(products), rank)
+        products.append(times(starts[-1]))
+        starts.append(np.linalg.qr(products[-1])[0])
+    out = [leading(np.hstack([x[k] for x in starts[:-1]]), np.hstack([x[k] for x in products]), rank) for k in range(len(views))]
+    return out if beside is not None else out[0]
 
 
 def leading(starts, products, rank: int):
@@ -365,17 +376,26 @@ def holders(items: list, size: int):
     return out
 
 
+def marked(bits, which, ids, first, last, most: int = 4096):
+    """For `most` regions from first to last at a time: where they stand in the list, their words, and which of these their item has."""
+    import numpy as np
+
+    width = np.arange(int((last - first).max(initial=0)))
+    for k in range(0, len(which), most):
+        rows = slice(k, k + most)
+        at = first[rows, None] + width
+        words = ids[np.minimum(at, len(ids) - 1)]
+        bit = bits[which[rows, None], words >> 3] >> (words & 7).astype(np.uint8)
+        yield rows, words, (bit & (at < last[rows, None]) & 1).view(bool)
+
+
 def held(bits, which, ids, first, last):
     """Words of the region from first to last that its item has, which bounds their common subsequence."""
     import numpy as np
 
     out = np.zeros(len(which), np.int64)
-    width = np.arange(int((last - first).max(initial=0)))
-    for k in range(0, len(which), 4096):
-        at = first[k : k + 4096, None] + width
-        inside = at < last[k : k + 4096, None]
-        words = ids[np.minimum(at, len(ids) - 1)]
-        out[k : k + 4096] = ((bits[which[k : k + 4096, None], words >> 3] >> (words & 7).astype(np.uint8)) & inside & 1).sum(axis=1)
+    for rows, _, there in marked(bits, which, ids, first, last):
+        out[rows] = there.sum(axis=1)
     return out
 
 
@@ -442,12 +462,10 @@ def search(coded_: DataFrame, items: list, item_ids: list[int], answers: list, v
                     block, chosen, close = (np.concatenate(x) for x in zip(*found, strict=True))
                     close = close / length[block]
                     first, last = np.maximum(block - 1, at[doc[block]]) * step, np.minimum(end[block] + 1, ends[block]) * step
-                    enough = held(bits, chosen, ids, first, last) >= loose * sizes[chosen]
-                    block, chosen, close, first, last = (x[enough] for x in (block, chosen, close, first, last))
-                    common = np.zeros(len(block), np.int64)
-                    small = sizes[chosen] <= 64
-                    common[small] = lcs_lengths(table, bits, chosen[small], ids, first[small], last[small])
-                    for k in np.flatnonzero(~small).tolist():
+                    common, small = np.zeros(len(block), np.int64), sizes[chosen] <= 64
+                    common[small] = lcs_lengths(table, bits, chosen[small], ids, first[small], last[small], loose * sizes[chosen[small]])
+                    large = np.flatnonzero(~small)
+                    for k in large[held(bits, chosen[large], ids, first[large], last[large]) >= loose * sizes[chosen[large]]].tolist():
                         common[k] = lcs_length(masks[chosen[k]], ids[first[k] : last[k]].tolist())
                     some = common / sizes[chosen] >= loose
                     rows = zip(*(x[some].tolist() for x in (doc[block], chosen, close, common, first, last, at[doc[block]])), strict=True)
@@ -526,7 +544,7 @@ def find_block(docs: DataFrame, some: list, **limits: float) -> DataFrame:
     import numpy as np
 
     vocabulary = {w: k for k, w in enumerate(sorted({w for _, text, told in some for w in [*text, *told]}))}
-    table = materialize(coded(docs, vocabulary), "clean-coded", compression="zstd")
+    table = materialize(coded(docs, vocabulary), "clean-coded", compression="snappy")
 
     def ids_of(text):
         return np.array([vocabulary[w] for w in text], np.int32)
@@ -541,10 +559,8 @@ def find_block(docs: DataFrame, some: list, **limits: float) -> DataFrame:
     told = [ids_of(answer or text[-ANSWER:]) for _, text, answer in some]
     plain = weights_of(seen, blocks)
     weak = [(plain[x] > 0).mean() < KEPT for x in ids]
-    views = []
-    for floor, which in ((False, list(range(len(ids)))), (True, [k for k, x in enumerate(weak) if x])):
-        if which:
-            idf = weights_of(seen, blocks, floor)
-            views.append((idf, latent(table, [ids[k] for k in which], idf, blocks), which))
+    views = [(weights_of(seen, blocks, floor), which) for floor, which in ((False, list(range(len(ids)))), (True, [k for k, x in enumerate(weak) if x])) if which]
+    fits = [([ids[k] for k in which], idf) for idf, which in views]
+    views = [(idf, directions, which) for (idf, which), directions in zip(views, latent(table, *fits[0], blocks, fits[1:]), strict=True)]
     hits = search(table, ids, [x[0] for x in some], told, views, float(np.log(blocks + 1)), **limits)
     return hits if brief is None else hits.unionByName(brief)
