@@ -34,14 +34,15 @@ from .common import drop, ensure, lean, materialize, new_path, slices_of
 END, BLOCK, LANES, SCALE, STEP = 2, 1 << 18, 1024, 18, 128
 MAGIC = b"SRA1"
 #: Pieces whose ids a worker remembers, besides as many that it met before them.
-REMEMBER = 1 << 16
+REMEMBER = 1 << 18
 #: A lower-case word with marks after it, which the tokenizer takes apart; apostrophes may bind.
 MARKED = re.compile(r"([a-z]+)([!-&(-/:-@\[-`{-~]+)")
 #: The same with the letters of Latin-1, each of which has one lower-case form and is composed already.
 LATIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:-@\[-`{-~]*)")
-#: The character that stands for each byte in a byte-level model.
-_SHOWN = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or b >= 174]
-BYTES = {b: b for b in _SHOWN} | {b: 256 + k for k, b in enumerate(b for b in range(256) if b not in _SHOWN)}
+#: What stands for each letter of Latin-1 beyond ASCII in a byte-level model: a character for each of its bytes.
+_OWN = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or b >= 174]
+_BYTES = {b: chr(b) for b in _OWN} | {b: chr(256 + k) for k, b in enumerate(b for b in range(256) if b not in _OWN)}
+SHOWN = {c: "".join(_BYTES[b] for b in chr(c).encode()) for c in range(128, 256)}
 
 
 class Words(dict):
@@ -55,17 +56,22 @@ class Words(dict):
 
         super().__init__()
         self.old: dict[str, bytes] = {}
-        self.tokenizer, self.kind = Tokenizer.from_file(file), kind
+        self.tokenizer = Tokenizer.from_file(file)
         self.model = None
         steps = json.loads(self.tokenizer.to_str())
         kinds = [[x["type"] for x in ((steps[name] or {}).get(own) or [])] for name, own in (("normalizer", "normalizers"), ("pre_tokenizer", "pretokenizers"))]
         if kinds == [["NFC", "Replace", "Lowercase"], ["Split", "ByteLevel"]] and not steps["pre_tokenizer"]["pretokenizers"][1]["add_prefix_space"]:
             # These steps leave a lower-case word of Latin-1 letters as it is, so such words go to the model at once.
             self.model = self.tokenizer.model
+        self.form = (MARKED if self.model is None else LATIN).fullmatch
         self.vocabulary = self.tokenizer.get_vocab_size(with_added_tokens=True)
+        self.use(kind)
+
+    def use(self, kind: str) -> None:
+        self.kind, self.code = kind, "H" if kind == "<u2" else "I"
 
     def cut(self, text: str | None) -> list[str]:
-        """Pieces of a text. The tokenizer lower-cases; doing so for ASCII first makes fewer of them.
+        """Pieces of a text. The tokenizer lower-cases; doing so for Latin-1 first makes fewer of them.
 
         Pieces with other characters keep their case: the tokenizer composes marks before it lower-cases.
         A text that may spell a special token keeps its case too, for that decides what it is.
@@ -73,47 +79,56 @@ class Words(dict):
         text = text or ""
         if "<|" in text:
             return text.replace("\n", " ").split(" ")
-        if text.isascii():
+        if text.isascii() or self.model is not None and is_latin(text):
             return text.lower().replace("\n", " ").split(" ")
         return [x.lower() if x.isascii() else x for x in text.replace("\n", " ").split(" ")]
 
-    def missing(self, pieces) -> set[str]:
-        """Those of the pieces that are not remembered; ids met before are taken over."""
-        out = set()
-        for piece in pieces:
-            if piece not in self:
-                ids = self.old.get(piece)
-                if ids is None:
-                    out.add(piece)
-                else:
-                    self[piece] = ids
-        return out
-
-    def learn(self, lists: list[list[str]]) -> None:
-        import numpy as np
-
+    def make_room(self) -> None:
         if len(self) > REMEMBER:
             self.old = dict(self)
             self.clear()
-        new = self.missing(set().union(*lists))
-        form = MARKED if self.model is None else LATIN
-        split = [(piece, m[1].lower(), m[2]) for piece in new if (m := form.fullmatch(piece))]
-        new.difference_update(piece for piece, _, _ in split)
-        cores = self.missing({core for _, core, _ in split})
-        new |= self.missing({marks for _, _, marks in split if marks})
-        if self.model is not None:
-            kind, tokenize = ("H" if self.kind == "<u2" else "I"), self.model.tokenize
-            for word in cores:
-                shown = word if word.isascii() else word.encode().decode("latin-1").translate(BYTES)
-                self[word] = array(kind, [x.id for x in tokenize(shown)]).tobytes()
-        else:
-            new |= cores
-        new = list(new)
-        for word, x in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False), strict=True):
-            self[word] = np.array(x.ids, self.kind).tobytes()
-        for piece, core, marks in split:
-            if marks or piece != core:
-                self[piece] = self[core] + (self[marks] if marks else b"")
+
+    def __missing__(self, piece: str) -> bytes:
+        ids = self.old.get(piece)
+        if ids is None:
+            ids = self.found(piece)
+        self[piece] = ids
+        return ids
+
+    def found(self, piece: str) -> bytes:
+        """Ids of a piece that is not remembered; those of a word and of marks after it are sought on their own."""
+        match = self.form(piece)
+        if match is not None:
+            word, marks = match.groups()
+            if marks:
+                return self[word.lower()] + self[marks]
+            if (word := word.lower()) != piece:
+                return self[word]
+            if self.model is not None:
+                if not word.isascii():
+                    word = word.translate(SHOWN)
+                return array(self.code, [x.id for x in self.model.tokenize(word)]).tobytes()
+        return array(self.code, self.tokenizer.encode_batch_fast([piece], add_special_tokens=False)[0].ids).tobytes()
+
+    def learn(self, lists: list[list[str]]) -> None:
+        self.make_room()
+        for pieces in lists:
+            for piece in pieces:
+                self[piece]
+
+    def encoded(self, text: str | None) -> bytes:
+        """Ids of a text; each piece is looked up once."""
+        self.make_room()
+        return b"".join(map(self.__getitem__, self.cut(text)))
+
+
+def is_latin(text: str) -> bool:
+    """Whether all characters are of Latin-1, which are composed and have one lower-case form each."""
+    try:
+        text.encode("latin-1")
+    except UnicodeEncodeError:
+        return False
+    return True
 
 
 def words_of(file: str) -> Words:
@@ -125,7 +140,7 @@ def words_of(file: str) -> Words:
     if (file, "words") not in kept:
         words = Words(file, "<u4")
         if words.vocabulary <= 1 << 16:
-            words.kind = "<u2"
+            words.use("<u2")
         kept[file, "words"] = words
     return kept[file, "words"]
 
@@ -158,10 +173,8 @@ def tokenised(docs: DataFrame, file: str, partitions: int, end: int = END, block
         names = ["part", "block", "doc_ids", "lengths", "ids", "width", "counts"]
         kinds = [pa.int32(), pa.int32(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.binary(), pa.int32(), pa.binary()]
         for some in slices_of(batches, 64):
-            lists = [words.cut(t) for t in some.column("text").to_pylist()]
-            words.learn(lists)
-            for doc_id, pieces in zip(some.column("doc_id").to_pylist(), lists, strict=True):
-                raw = b"".join(map(words.__getitem__, pieces)) + last
+            for doc_id, text in zip(some.column("doc_id").to_pylist(), some.column("text").to_pylist(), strict=True):
+                raw = words.encoded(text) + last
                 n = len(raw) // np.dtype(kind).itemsize
                 if size and size + n > block:
                     yield flush()

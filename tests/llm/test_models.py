@@ -6,6 +6,7 @@ import zlib
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import pyarrow.parquet as pq
 from tokenizers import Tokenizer
 
 from strataleaf.llm import decontaminate, language, tokenbin
@@ -91,6 +92,23 @@ def test_latin_words_go_to_the_model_and_outlive_a_full_memory(monkeypatch):
     assert counted.sent == [] and len(words) < 100
 
 
+def test_pieces_are_sought_on_demand_and_latin_texts_lower_cased_whole(monkeypatch):
+    import random
+
+    r, plain, words = random.Random(11), Tokenizer.from_file(FILE), tokenbin.Words(FILE, "<u2")
+    every = [chr(c) for c in (*range(9, 14), *range(28, 256))] * 3 + ["\n", " ", " "] * 100
+    texts = ["".join(r.choices(every, k=300)) for _ in range(200)]
+    texts += [f"{x} \u2019{y}\u0301 \u0130 \u03a3\u03a3 {x.upper()}" for x, y in zip(texts, texts[1:], strict=False)]
+    texts += ["É<|endoftext|>É <|x É", "", None, "ÀÉ ÀÉ, àé Àé.", *(x.text for x in pq.read_table(f"{SF}/documents.parquet").to_pandas().itertuples())]
+    for most in (tokenbin.REMEMBER, 50):
+        monkeypatch.setattr(tokenbin, "REMEMBER", most)
+        for x in texts:
+            assert np.frombuffer(words.encoded(x), "<u2").tolist() == plain.encode(x or "", add_special_tokens=False).ids, x
+    words = tokenbin.Words(FILE, "<u2")
+    words.encoded("ÀÉ ÀÉ Àé")
+    assert set(words) == {"àé"}
+
+
 def test_languages_on_held_out_rows(spark):
     df = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     known = {r.doc_id: r.lang for r in df.select("doc_id", "lang").collect()}
