@@ -30,6 +30,8 @@ columns are ignored. Unequal sets share a 64-bit class with probability n*n/2**6
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -43,6 +45,8 @@ FULL = 255
 #: Hashes that a sample of 1/SAMPLE of the rows finds often, at most HINTS: they come last in the order.
 SAMPLE, HINTS, SALTS = 8, 1 << 18, 64
 ENTRIES = 1_000_000
+#: The hashes of all prefixes are gathered in so many parts, one after another, so that one part is on disk at a time.
+PARTS = 2
 #: Counts that are compared at once.
 CELLS = 1 << 21
 #: Words whose hashes a task remembers.
@@ -228,10 +232,11 @@ def described(docs: DataFrame, last: list[int]) -> DataFrame:
     return docs.mapInArrow(lean(run), "doc_id long, n long, cls long, prefix array<long>, late array<long>, counts binary")
 
 
-def shared_entries(sets: DataFrame, tasks: int) -> DataFrame:
+def shared_entries(sets: DataFrame, tasks: int, part: int = 0, parts: int = 1) -> DataFrame:
     """(key, cls, n, pos, w) of the entries whose key another class of a suitable size has too, at a place that suits.
 
-    pos is the key's place in the class's order, w the log of the list's length, about.
+    pos is the key's place in the class's order, w the log of the list's length, about. Of several parts,
+    each has its own keys.
 
     Frequent hashes are dealt out by class as well and all go on: their lists are not gathered here.
     """
@@ -268,7 +273,8 @@ def shared_entries(sets: DataFrame, tasks: int) -> DataFrame:
     plain = sets.select(F.posexplode("prefix").alias("pos", "key"), "cls", "n").withColumn("salt", F.lit(-1))
     often = sets.select(F.posexplode("late").alias("pos", "key"), "cls", "n", "prefix").withColumn("pos", F.col("pos") + F.size("prefix"))
     often = often.drop("prefix").withColumn("salt", F.pmod("cls", F.lit(SALTS)).cast("int"))
-    return plain.unionByName(often).repartition(tasks, "key", "salt").mapInArrow(lean(run), "key long, cls long, n long, pos int, w float")
+    every = plain.unionByName(often).where(F.pmod("key", F.lit(parts)) == part)
+    return every.repartition(tasks, "key", "salt").mapInArrow(lean(run), "key long, cls long, n long, pos int, w float")
 
 
 def _apart(pairs: DataFrame, comps: DataFrame) -> DataFrame:
@@ -500,10 +506,12 @@ def components(docs: DataFrame) -> DataFrame:
     sets = materialize(described(docs, last), "ngram-sets", compression="zstd")
     conf = int(spark.conf.get("spark.sql.shuffle.partitions"))
     total = sets.agg(F.coalesce(F.sum(F.size("prefix") + F.size("late")), F.lit(0)).alias("n")).first().n
-    tasks = max(conf, -(-total // ENTRIES))
-    entries = materialize(shared_entries(sets, tasks), "ngram-entries")
-
-    settle(spark)
+    tasks = max(conf, -(-total // (PARTS * ENTRIES)))
+    gathered = []
+    for part in range(PARTS):
+        gathered.append(materialize(shared_entries(sets, tasks, part, PARTS), "ngram-entries"))
+        settle(spark)
+    entries = functools.reduce(DataFrame.unionByName, gathered)
     classes = sets.select("cls", "doc_id", "n", "counts").join(entries.select("cls").distinct(), "cls", "left_semi")
     points = classes.groupBy("cls").agg(F.min("doc_id").alias("doc_id"), F.first("n").alias("n"), F.first("counts").alias("counts"))
     points = materialize(coarse_and_fine(points), "ngram-points")
@@ -534,7 +542,7 @@ def components(docs: DataFrame) -> DataFrame:
     comps = connected_components(links)
     more, lists = rest_pairs(entries, comps.select(F.col("node").alias("cls"), F.col("component").alias("comp")), points, conf)
     more = materialize(more.join(pairs, ["a", "b"], "left_anti"), "ngram-rest")
-    for table in (entries, pairs, lists):
+    for table in (*gathered, pairs, lists):
         drop(table)
     settle(spark)
     comps = connected_components(links.unionByName(verify(docs, more, points, conf)))

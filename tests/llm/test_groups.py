@@ -216,3 +216,24 @@ def test_first_common_hash_stands_at_a_place_that_meets():
         low, pos = min((len(a), pos_a), (len(b), pos_b))
         assert pos <= ngrams.first_of(low)
     assert linked > 1000
+
+
+def test_hashes_are_gathered_in_parts_that_are_the_whole(spark, monkeypatch):
+    r, parts, materialize = random.Random(21), [], ngrams.materialize
+
+    def spy(table, name, **options):
+        out = materialize(table, name, **options)
+        if name == "ngram-entries":
+            parts.append({tuple(x) for x in out.select("key", "cls", "n", "pos").collect()})
+        return out
+
+    monkeypatch.setattr(ngrams, "materialize", spy)
+    base = [" ".join(f"w{r.randrange(500)}" for _ in range(60)) for _ in range(30)]
+    df = docs(spark, [(k, base[k % 30] + f" end{k}" * (k // 30), "en", "s") for k in range(90)])
+    got = {x.doc_id: x.component_id for x in ngrams.components(df).collect()}
+    assert got == {k: k % 30 for k in range(90)}
+    sets = ngrams.described(df.select("doc_id", "text"), ngrams.hints(df.select("doc_id", "text")))
+    whole = {tuple(x) for x in ngrams.shared_entries(sets, 4).select("key", "cls", "n", "pos").collect()}
+    keys = [{x[0] for x in part} for part in parts]
+    assert len(parts) > 1 and all(keys) and sum(map(len, keys)) == len(set().union(*keys))
+    assert set().union(*parts) == whole
