@@ -10,15 +10,29 @@ no words), the token file gives them the end id. Empty tables stay empty; other
 
 from __future__ import annotations
 
+import functools
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strataleaf.llm import decontaminate, language, mixing, ngrams, tokenbin
-from strataleaf.llm.common import drop, materialize, near
+from strataleaf.llm.common import drop, materialize, near, settle
 
 TOKENIZER = "word_bpe_49k.json"
 
 
+def settled(stage: Callable) -> Callable:
+    """A stage that begins with what the ones before it left in memory given back."""
+
+    @functools.wraps(stage)
+    def run(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        settle(spark)
+        return stage(spark, docs, sf_dir)
+
+    return run
+
+
 def keyed(docs: DataFrame) -> tuple[DataFrame, str]:
     """docs with a key of the whole row, and the key's name, which no column of docs has."""
     name = "__row"
@@ -40,6 +54,7 @@ def without(rows: DataFrame, key: str, keys: DataFrame) -> DataFrame:
     return rows.join(near(gone), key, "left_anti")
 
 
+@settled
 def keep_known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 4: documents whose language compression cannot tell go."""
     rows, key = keyed(docs)
@@ -47,6 +62,7 @@ def keep_known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
     return without(rows, key, told.where("rejected")).select(docs.columns)
 
 
+@settled
 def keep_one_of_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 6: of each group of near copies one row of the smallest doc_id stays, a null one last."""
     rows, key = keyed(docs)
@@ -66,12 +82,14 @@ def one_each(rows: DataFrame, key: str, repeated: DataFrame) -> DataFrame:
     return rows.join(near(keys), key, "left_anti").unionByName(rows.join(near(keys), key, "left_semi").dropDuplicates([key]))
 
 
+@settled
 def keep_clear_of_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 10: documents that hold a benchmark item go."""
     rows, key = keyed(docs)
     return without(rows, key, decontaminate.find(as_docs(rows, key, "text"), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))).select(docs.columns)
 
 
+@settled
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 8: each row as often as its source's target takes it."""
     rows, key = keyed(docs)
@@ -82,6 +100,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return counted.withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__copies").cast("int")))).select(docs.columns)
 
 
+@settled
 def write_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 3: the mix as a token file, read back."""
     import public_tokenizers

@@ -29,7 +29,7 @@ from array import array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import drop, ensure, lean, materialize, new_path, slices_of
+from .common import drop, ensure, kept, lean, materialize, new_path, slices_of
 
 END, BLOCK, LANES, SCALE, STEP = 2, 1 << 18, 1024, 18, 128
 MAGIC = b"SRA1"
@@ -132,17 +132,13 @@ def is_latin(text: str) -> bool:
 
 
 def words_of(file: str) -> Words:
-    """This process's pieces of a tokenizer; tasks that a worker runs one after another share them."""
-    import sys
-    import types
-
-    kept = sys.modules.setdefault("_strataleaf_kept", types.ModuleType("_strataleaf_kept")).__dict__
-    if (file, "words") not in kept:
+    """This process's pieces of a tokenizer; tasks of this operator that a worker runs one after another share them."""
+    if (file, "words") not in kept():
         words = Words(file, "<u4")
         if words.vocabulary <= 1 << 16:
             words.use("<u2")
-        kept[file, "words"] = words
-    return kept[file, "words"]
+        kept()[file, "words"] = words
+    return kept()[file, "words"]
 
 
 def tokenised(docs: DataFrame, file: str, partitions: int, end: int = END, block: int = BLOCK) -> DataFrame:
@@ -186,7 +182,7 @@ def tokenised(docs: DataFrame, file: str, partitions: int, end: int = END, block
             row = ([part], [-1], [None], [None], [None], [None], [counts.tobytes()])
             yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(row, kinds, strict=True)], names=names)
 
-    return rows.mapInArrow(lean(run), "part int, block int, doc_ids array<long>, lengths array<long>, ids binary, width int, counts binary")
+    return rows.mapInArrow(lean(run, keeps=True), "part int, block int, doc_ids array<long>, lengths array<long>, ids binary, width int, counts binary")
 
 
 def shares(counts, scale: int = SCALE):
@@ -340,7 +336,7 @@ def write(docs: DataFrame, path: str, file: str, partitions: int | None = None,
             )
 
     blocks = raw.where("block >= 0").select("part", "block", "doc_ids", "lengths", "ids", "width")
-    blocks.mapInArrow(lean(encode), "part int, block int, doc_ids array<long>, n_ids long, payload binary").write.option("compression", "none").parquet(f"{path}/blocks")
+    blocks.mapInArrow(lean(encode, keeps=True), "part int, block int, doc_ids array<long>, n_ids long, payload binary").write.option("compression", "none").parquet(f"{path}/blocks")
     drop(raw)
 
 
@@ -378,7 +374,7 @@ def read(spark, path: str) -> DataFrame:
                     names=["doc_id", "start", "n_tokens", "ids_crc32"],
                 )
 
-    return placed.select("doc_ids", "payload", "start").mapInArrow(lean(decode), "doc_id long, start long, n_tokens long, ids_crc32 long")
+    return placed.select("doc_ids", "payload", "start").mapInArrow(lean(decode, keeps=True), "doc_id long, start long, n_tokens long, ids_crc32 long")
 
 
 def encode(docs: DataFrame, file: str, path: str | None = None) -> DataFrame:

@@ -3,6 +3,7 @@
 import collections
 
 import corpus_pipeline
+from strataleaf.llm import common, tokenbin
 
 from .helpers import docs
 
@@ -65,3 +66,31 @@ def test_benchmark_stage_fits_on_all_words(spark, tmp_path, monkeypatch):
     df = docs(spark, [(k, some(12000), "en", "s") for k in range(50)])  # 37,500 passages
     assert corpus_pipeline.keep_clear_of_benchmark(spark, df, bench).count() == 50
     assert set(fitted) == {50 * 12000}
+
+
+def test_other_operators_drop_the_pieces_that_a_worker_keeps():
+    import public_tokenizers
+
+    file = public_tokenizers.path(corpus_pipeline.TOKENIZER)
+    words = tokenbin.words_of(file)
+    assert list(common.lean(iter, keeps=True)([1])) == [1] and tokenbin.words_of(file) is words
+    assert list(common.lean(iter)([1])) == [1] and tokenbin.words_of(file) is not words
+
+
+def test_stages_begin_with_memory_given_back(spark, tmp_path, monkeypatch):
+    calls = []
+    monkeypatch.setattr(corpus_pipeline, "settle", calls.append)
+    spark.createDataFrame([(1, LONG)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    for k, (_, stage) in enumerate(corpus_pipeline.STAGES, 1):
+        stage(spark, docs(spark), str(tmp_path))
+        assert calls == [spark] * k
+
+
+def test_executors_collect_their_garbage(spark):
+    def whole():
+        beans = spark._jvm.java.lang.management.ManagementFactory.getGarbageCollectorMXBeans()
+        return sum(x.getCollectionCount() for x in beans if "Old" in x.getName() or "MarkSweep" in x.getName())
+
+    before = whole()
+    common.collect_on_executors(spark)  # the session's executor is the driver
+    assert whole() > before
