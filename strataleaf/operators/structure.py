@@ -81,6 +81,12 @@ def classify(text: Column, classes: Column | None = None, table_share: Column |
     return {"section_type": kind, "number": num.otherwise(""), "level": level.otherwise(LEAF).cast("long")}
 
 
+def deepest(text: Column) -> Column:
+    """A level that classify's containers do not pass, by the dots of a clause's number alone."""
+    clause = F.regexp_extract(text, CLAUSE, 1)
+    return F.coalesce(F.lit(LEVELS["clause"]) + F.length(clause) - F.length(F.replace(clause, F.lit("."))), F.lit(LEVELS["clause"]))
+
+
 def parents(df: DataFrame, key: str, order: str, level: str, reset: Column, levels: int | None = None) -> DataFrame:
     """parent_order: the nearest earlier container of a smaller level since the last reset.
 

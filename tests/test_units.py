@@ -200,3 +200,26 @@ def test_nearest_bears_zero_vectors(spark):
     rows = spark.createDataFrame([(1, [0.0, 0.0]), (2, [1.0, 0.0]), (3, None)], "vec_id long, embedding array<double>")
     got = retrieval.nearest(rows, "vec_id", "embedding", [1.0, 0.0]).collect()
     assert [(r.vec_id, r.distance) for r in got] == [(2, 0.0), (1, None)]
+
+
+def test_versions_share_batches(spark):
+    """Sections in any order, a version without text, more versions than are held at once; no group of its own for each."""
+    rows = [(k, o, None if o == 0 else 0, t, n, x) for k in range(150) for o, t, n, x in [(1, "clause", "1", f"1. word {k} " * (k % 3 * 200)), (0, "article", "5", f"5-modda {k}"), (2, "paragraph", "", None)]]
+    rows.append((900, 0, None, "paragraph", "", ""))
+    got = chunking.chunk_versions(spark.createDataFrame(rows, "doc long, ord long, parent long, section_type string, number string, text string"), "doc")
+    assert "FlatMapGroups" not in got._jdf.queryExecution().toString()
+    want = []
+    for k in range(150):
+        mine = sorted(r[1:] for r in rows if r[0] == k)
+        made = chunking.chunk([{"order": o, "parent": up, "type": t, "number": n, "text": x or ""} for o, up, t, n, x in mine])
+        want += [(k, at, c["text"], c["tokens"], c["of"][0]["order"], c["of"][-1]["order"]) for at, c in enumerate(made)]
+    assert sorted((r.doc, r.chunk_index, r.text, r.token_count, r.first_section, r.last_section) for r in got.collect()) == want
+
+
+def test_no_level_is_deeper_than_told(spark):
+    from strataleaf.operators import structure
+
+    blocks = ["1.2.3.4. a", "1. a", "5-modda", "text", "", "1.2.3.4.5.6) b", "9.9"]
+    rows = spark.createDataFrame([(b,) for b in blocks], "x string")
+    found = rows.select(structure.classify(F.col("x"))["level"].alias("level"), structure.deepest(F.col("x")).alias("most")).collect()
+    assert all(r.level in (structure.LEAF,) or r.level <= r.most for r in found) and max(r.most for r in found) == 11
