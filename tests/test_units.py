@@ -223,3 +223,22 @@ def test_no_level_is_deeper_than_told(spark):
     rows = spark.createDataFrame([(b,) for b in blocks], "x string")
     found = rows.select(structure.classify(F.col("x"))["level"].alias("level"), structure.deepest(F.col("x")).alias("most")).collect()
     assert all(r.level in (structure.LEAF,) or r.level <= r.most for r in found) and max(r.most for r in found) == 11
+
+
+def test_words_are_found_as_in_the_search_key(spark):
+    """On odd texts as by token arrays, which are no longer made."""
+    from strataleaf.operators import retrieval
+
+    rng = random.Random(7)
+    bits = ["the", "The", "with", "WITH", " ", "-", "'", "’", "ʻ", "​", "\xa0", "\x01", "_", "1", "х", "thе", "\U0001d400", "\U0001f600", "́", "é", "Σ", "x", "."]
+    texts = ["", None, "\U0001d400the", "\U0001f600the with", "with \U0001d400 the", *("".join(rng.choices(bits, k=rng.randrange(12))) for _ in range(600))]
+    df = spark.createDataFrame(list(enumerate(texts)), "i long, t string")
+    tokens = {r.i: r.w or [] for r in df.select("i", text.tokens(text.search_key(F.col("t"))).alias("w")).collect()}
+    for variants in ([["the"]], [["the", "with"], ["x"], []], [["the", ""]], [["a b"]], [["é"], ["1"]]):
+        found = retrieval.with_key(df, "t").where(retrieval.matches(F.col("__key"), variants))
+        assert "split(" not in found._jdf.queryExecution().toString()
+        sets = [set(v) for v in variants if v]
+        want = {i: retrieval.covers(w, sets) for i, w in tokens.items() if any(s <= set(w) for s in sets)}
+        assert {r.i: r.rank for r in found.select("i", retrieval.cover_density(variants)(F.col("__key")).alias("rank")).collect()} == want
+        counts = {r.i: r.n for r in found.select("i", retrieval.frequency(F.col("__key"), variants[0][0]).alias("n")).collect()}
+        assert counts == {i: tokens[i].count(variants[0][0]) for i in want}
