@@ -56,3 +56,15 @@ def components(edges: DataFrame, a: str, b: str) -> DataFrame:
         if now == last:
             return labels
         last = now
+
+
+def reached_counts(edges: DataFrame, a: str, b: str, roots: DataFrame) -> DataFrame:
+    """(root, reached): how many nodes reachable() would pair with each root, itself included, where every edge goes both ways.
+
+    What a root reaches then is its component, so that members are counted once for each component and the pairs, as
+    many as the squares of components, are never made. A null root reaches no node.
+    """
+    members = components(edges, a, b)
+    sizes = members.groupBy("component").agg(F.count(F.lit(1)).alias("__n"))
+    found = roots.select("root").distinct().join(members, F.col("root") == F.col("node"), "left").join(sizes, "component", "left")
+    return found.select("root", F.when(F.col("root").isNull(), 0).otherwise(F.coalesce("__n", F.lit(1))).cast("long").alias("reached"))

@@ -258,3 +258,13 @@ def test_only_texts_that_compose_go_to_python(spark):
     got = df.select("i", text.composed(F.col("t")).alias("t"))
     assert {r.i: r.t for r in got.collect()} == {i: t if t is None else unicodedata.normalize("NFC", t) for i, t in enumerate(texts)}
     assert "CASE WHEN RLIKE(" in got._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_reached_counts_are_those_of_the_pairs(spark):
+    edges = spark.createDataFrame([(1, 2), (2, 3), (3, 1), (5, 6), (8, 8), (9, None), (None, 1)], "a long, b long")
+    roots = spark.createDataFrame([(1,), (2,), (6,), (7,), (8,), (9,), (None,), (1,)], "root long")
+    both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    want = graph.reachable(both, "a", "b", roots).groupBy("root").agg(F.count_distinct("node").alias("reached"))
+    got = graph.reached_counts(edges, "a", "b", roots)
+    assert {tuple(r) for r in got.collect()} == {tuple(r) for r in want.collect()} == {(1, 3), (2, 3), (6, 2), (7, 1), (8, 1), (9, 1), (None, 0)}
+    assert got.count() == 7 and dict(got.dtypes)["reached"] == "bigint"
